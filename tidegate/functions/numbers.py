@@ -40,9 +40,10 @@ def number_or_zero(c: Column | str, to: str = "double") -> Column:
     return F.coalesce(parsed, F.lit(0).cast(to))
 
 
-def normalise_score(c: Column | str, low: float, high: float) -> Column:
+def normalise_score(c: Column | str, low: Column | float, high: Column | float) -> Column:
     """Map a score from ``[low, high]`` to 0-100."""
-    return round_dec((_col(c).cast("double") - low) / (high - low) * 100, 2)
+    low, high = (x if isinstance(x, Column) else F.lit(float(x)) for x in (low, high))
+    return round_dec(ratio(_col(c) - low, high - low) * 100, 2)
 
 
 def monthly_revenue(amount: Column | str, months: Column | str) -> Column:

@@ -8,12 +8,11 @@ from collections.abc import Callable, Sequence
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
-from pyspark.sql.types import _parse_datatype_string
 
 from tidegate.functions.times import as_date
 from tidegate.sinks import storage
+from tidegate.sources.parsing import as_struct, as_text, parse_records, typed
 
-CORRUPT = "_corrupt"
 NULL_TOKENS = ("NULL", "null", "")
 
 
@@ -21,41 +20,28 @@ class EmptyInput(ValueError):
     """A source that must deliver rows delivered none."""
 
 
-def as_struct(schema: str | T.StructType) -> T.StructType:
-    return _parse_datatype_string(schema) if isinstance(schema, str) else schema
-
-
-def with_corrupt(schema: str | T.StructType) -> T.StructType:
-    return T.StructType([*as_struct(schema).fields, T.StructField(CORRUPT, T.StringType())])
+def _whole_files(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.option("wholetext", True).text(path)
 
 
 def read_json_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """Files that each hold one array or one object; a broken file yields no rows."""
-    df = _read_json(spark, path, schema, multi_line=True)
-    return df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
+    rows = F.from_json("value", T.ArrayType(as_text(schema)))
+    parsed = _whole_files(spark, path).select(F.inline(rows))
+    return parsed.select([typed(F.col(f.name), f.dataType).alias(f.name) for f in as_struct(schema).fields])
 
 
-def broken_files(spark: SparkSession, path: str, schema: str) -> DataFrame:
+def broken_files(spark: SparkSession, path: str) -> DataFrame:
     """The files :func:`read_json_files` skipped, for the run log."""
-    df = _read_json(spark, path, schema, multi_line=True).withColumn("file", F.col("_metadata.file_path"))
-    return df.filter(F.col(CORRUPT).isNotNull()).select("file").distinct()
-
-
-def _read_json(spark: SparkSession, path: str, schema: str, multi_line: bool) -> DataFrame:
-    return (
-        spark.read.schema(with_corrupt(schema))
-        .option("multiLine", multi_line)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(path)
-    )
+    df = _whole_files(spark, path).withColumn("file", F.col("_metadata.file_path"))
+    return df.filter(F.try_parse_json("value").isNull()).select("file")
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: str, require_rows: bool = True) -> DataFrame:
     """JSON lines: blank lines ignored, malformed lines dropped, no rows is an error."""
-    df = _read_json(spark, path, schema, multi_line=False)
-    good = df.filter(F.col(CORRUPT).isNull()).drop(CORRUPT)
-    if require_rows and good.isEmpty():
+    lines = spark.read.text(path).withColumnRenamed("value", "_line")
+    good = parse_records(lines, "_line", schema).filter(~F.col("_bad")).drop("_bad", "_line")
+    if require_rows and not good.take(1):
         raise EmptyInput(f"{path} is empty or unreadable")
     return good
 

@@ -10,37 +10,9 @@ from pyspark.sql import types as T
 
 from tidegate.functions.numbers import _col
 from tidegate.functions.times import in_window
-from tidegate.sources.files import CORRUPT, as_struct, with_corrupt
+from tidegate.sources.parsing import as_struct, parse_records, typed
 from tidegate.sources.schemas import CLICKSTREAM_PAYLOAD, CRM_ORDER_RENAMES, ORDER_EVENT
 
-STRICT_JSON = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, "allowSingleQuotes": "false"}
-
-
-def parse_json(c: Column | str, schema: str) -> Column:
-    """Struct of the payload plus ``_corrupt``, set when the text is not a JSON object."""
-    return F.from_json(_col(c), with_corrupt(schema), STRICT_JSON)
-
-
-def _typed(c: Column, data_type: T.DataType) -> Column:
-    return c if isinstance(data_type, T.StringType) else c.try_cast(data_type)
-
-
-def as_text(schema: str | T.StructType) -> T.StructType:
-    return T.StructType([T.StructField(f.name, T.StringType()) for f in as_struct(schema).fields])
-
-
-def parse_records(raw: DataFrame, body: str, schema: str, keep: Sequence[str] = ()) -> DataFrame:
-    """One parsed frame: wanted fields (bad values null) and a ``_bad`` flag.
-
-    Fields are parsed as text first: a field of the wrong type must not turn a
-    well-formed message into a malformed one.
-    """
-    parsed = raw.withColumn("_p", parse_json(body, as_text(schema)))
-    bad = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull() | F.col(body).isNull()
-    fields = [_typed(F.col(f"_p.{f.name}"), f.dataType).alias(f.name) for f in as_struct(schema).fields]
-    return parsed.select(*keep, body, bad.alias("_bad"), *fields)
-
-
 def parse_or_deadletter(
     raw: DataFrame, body: str = "body", schema: str = ORDER_EVENT, keep: Sequence[str] = ()
 ) -> tuple[DataFrame, DataFrame]:
@@ -137,7 +109,7 @@ def decode_typed_attrs(df: DataFrame, body: str, schema: str) -> DataFrame:
     def value(f: T.StructField) -> Column:
         a = F.col(f"_i.{f.name}")
         text = F.when(a["NULL"].isNull(), F.coalesce(a["N"], a["BOOL"], a["S"]))
-        return _typed(text, f.dataType).alias(f.name)
+        return typed(text, f.dataType).alias(f.name)
 
     return parsed.select([value(f) for f in fields])
 

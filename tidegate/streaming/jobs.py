@@ -15,14 +15,13 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidegate.session import scratch_dir
 from tidegate.sinks.tables import merge_into
-from tidegate.sources.files import as_struct
-from tidegate.sources.landed import parse_records
+from tidegate.sources.parsing import as_struct, parse_records
 
 
 def read_events(spark: SparkSession, fmt: str, options: dict[str, str], schema: str, streaming: bool = True) -> DataFrame:
     """Any event source: Kafka on a cluster, files in tests."""
     reader = spark.readStream if streaming else spark.read
-    reader = reader.format(fmt).options(**options)
+    reader = reader.format(fmt).options(**{k: o for k, o in options.items() if k != "path"})
     if fmt == "kafka":
         payload = reader.load().select(F.from_json(F.col("value").cast("string"), as_struct(schema)).alias("v"))
         return payload.select("v.*")
