@@ -88,9 +88,13 @@ def merge_into(
     keys: Sequence[str],
     partition_by: str,
     order_by: Sequence[Column | str],
+    newest_wins: bool = False,
 ) -> None:
     """Upsert into a partitioned Parquet table, rewriting only what changes.
 
+    The batch wins over the table, as in MERGE. With ``newest_wins`` the newer
+    row of the two wins, for input that may arrive out of order.
+
     Touched partitions are those of the batch plus those that hold a matching
     key today. The second set is found by scanning key and partition columns
     only, and the partition filter prunes the rewrite to the touched ones.
@@ -106,7 +110,11 @@ def merge_into(
     touched = [r[0] for r in hit.unionByName(batch.select(partition_by)).distinct().collect()]
     if not touched:
         return
-    rows = upsert(target.filter(F.col(partition_by).isin(touched)), batch, keys)
+    current = target.filter(F.col(partition_by).isin(touched))
+    if newest_wins:
+        rows = dedupe_latest(current.unionByName(batch), keys, order_by)
+    else:
+        rows = upsert(current, batch, keys)
     # A partition whose last row moved elsewhere is not in the output: drop it.
     # Only partition names travel to the driver, here and above.
     left = {r[0] for r in rows.select(partition_by).distinct().collect()}

@@ -84,9 +84,11 @@ def deadletter_sink(schema: str, body: str, good_path: str, dead_path: str, keep
     return handle
 
 
-def upsert_sink(path: str, keys: Sequence[str], partition_by: str, order_by: Sequence[str]) -> Callable[[DataFrame, int], None]:
+def upsert_sink(
+    path: str, keys: Sequence[str], partition_by: str, order_by: Sequence[str], newest_wins: bool = False
+) -> Callable[[DataFrame, int], None]:
     def handle(batch: DataFrame, batch_id: int) -> None:
-        merge_into(batch, path, keys, partition_by, order_by)
+        merge_into(batch, path, keys, partition_by, order_by, newest_wins)
 
     return handle
 

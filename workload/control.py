@@ -261,14 +261,9 @@ def hourly_stream(t: Tables) -> DataFrame:
 def stream_upsert(t: Tables) -> DataFrame:
     """Latest event per user: later batches may hold older events, so the newest wins."""
     out = t.scratch("latest")
-
-    def handle(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select("user_id", "event_id", "event_type", "value", "ts").withColumn("bucket", F.pmod(F.hash("user_id"), F.lit(4)))
-        seen = batch.sparkSession.read.parquet(out).join(rows.select("user_id").distinct(), "user_id", "left_semi") if batch_id else None
-        both = rows if seen is None else rows.unionByName(seen.select(*rows.columns))
-        tables.merge_into(both, out, ["user_id"], "bucket", ["ts", "event_id"])
-
-    jobs.drain(event_stream(t, "events", 3), handle)
+    rows = event_stream(t, "events", 3).select("user_id", "event_id", "event_type", "value", "ts")
+    rows = rows.withColumn("bucket", F.pmod(F.hash("user_id"), F.lit(4)))
+    jobs.drain(rows, jobs.upsert_sink(out, ["user_id"], "bucket", ["ts", "event_id"], newest_wins=True))
     return t.spark.read.parquet(out).select("user_id", "event_id", "event_type", "value")
 
 
