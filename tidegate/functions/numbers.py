@@ -46,8 +46,14 @@ def normalise_score(c: Column | str, low: Column | float, high: Column | float)
     return round_dec(ratio(_col(c) - low, high - low) * 100, 2)
 
 
+def share_of(amount: Column | str, parts: Column | str | int, places: int) -> Column:
+    """Exact decimal division of money, half-up; a zero or null divisor gives null."""
+    n = F.lit(parts) if isinstance(parts, int) else _col(parts)
+    return F.round(F.try_divide(_col(amount).cast(MONEY), n.cast("decimal(10,0)")), places)
+
+
 def monthly_revenue(amount: Column | str, months: Column | str) -> Column:
-    return round_dec(ratio(amount, months), 2)
+    return share_of(amount, months, 2)
 
 
 def annual_revenue(monthly: Column | str) -> Column:

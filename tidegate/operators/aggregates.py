@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.numbers import MONEY, number_or_zero, percent, ratio, round_dec
+from tidegate.functions.numbers import MONEY, number_or_zero, percent, ratio, round_dec, share_of
 from tidegate.functions.rules import (
     HOT_PCT,
     URGENT_PCT,
@@ -235,7 +235,7 @@ def deferred_amortisation(balances: DataFrame, month, months: int = 24) -> DataF
         balances.filter((F.col("revenue_category") == "CONNECTION_FEE") & (age < months))
         .groupBy("rsp_id")
         .agg(F.sum("deferred_balance").alias("total_deferred"))
-        .withColumn("current_period_recognition", round_dec(ratio("total_deferred", F.lit(months)), 4))
+        .withColumn("current_period_recognition", share_of("total_deferred", months, 4))
     )
 
 

@@ -486,7 +486,7 @@ def deferred_balances(t: Tables) -> DataFrame:
 
 BILLING_MONTH = "1999-06-01"
 DEFERRED = f"""deferred AS (
-  SELECT rsp_id, total_deferred, {MONEY('round(CAST(CAST(total_deferred AS DOUBLE) / 24 AS DECIMAL(38,12)), 4)')} AS current_period_recognition
+  SELECT rsp_id, total_deferred, {MONEY('((CAST(total_deferred * 10000 AS BIGINT) * 2 + 24) // 48) / 10000.0')} AS current_period_recognition
   FROM (SELECT c_nationkey AS rsp_id, sum({MONEY('o_totalprice')}) AS total_deferred
         FROM orders JOIN customer ON c_custkey = o_custkey
         WHERE o_orderpriority = '1-URGENT' AND date_diff('month', o_orderdate, DATE '{BILLING_MONTH}') < 24 GROUP BY 1))"""
