@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from tidegate.functions.numbers import _col, ratio, round_dec
-from tidegate.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS, count_words, word_set
+from tidegate.functions.text import NEGATIVE_WORDS, POSITIVE_WORDS, count_words, keyword_hits
 from tidegate.functions.times import as_date
 
 # Codes, thresholds and accounts that decide the result.
@@ -49,14 +49,19 @@ def nps_category(score) -> Column:
 
 def sentiment(text, score) -> Column:
     t, s = _col(text), _col(score)
-    words = word_set(t)
-    pos, neg = count_words(words, POSITIVE_WORDS), count_words(words, NEGATIVE_WORDS)
-    return (
-        F.when(F.coalesce(t, F.lit("")) == "", "neutral")
-        .when((pos > neg) & (s >= 7), "positive")
-        .when((neg > pos) | (s <= 4), "negative")
-        .otherwise("neutral")
-    )
+
+    def label(hits: Column) -> Column:
+        pos, neg = count_words(hits, POSITIVE_WORDS), count_words(hits, NEGATIVE_WORDS)
+        return (
+            F.when((pos > neg) & (s >= 7), "positive")
+            .when((neg > pos) | (s <= 4), "negative")
+            .otherwise("neutral")
+        )
+
+    # Binding the hits as a lambda argument evaluates the scan once per text.
+    hits = keyword_hits(t, POSITIVE_WORDS + NEGATIVE_WORDS)
+    scored = F.element_at(F.transform(F.array(hits), label), 1)
+    return F.when(F.coalesce(t, F.lit("")) == "", "neutral").otherwise(scored)
 
 
 def _penalty(name: str, c: Column) -> Column:

@@ -24,14 +24,19 @@ WHITESPACE = (
     "\u2028\u2029\u202f\u205f\u3000"
 )
 
-DEFAULT_REDACTIONS = ((EMAIL_PATTERN, "[EMAIL]"), (AU_PHONE_PATTERN, "[PHONE]"))
+WORD_BREAK = r"(?U)[\s\x1c-\x1f]+"
 
+# (pattern, replacement, text every match contains): the last one lets a text
+# without it skip the pattern altogether.
+DEFAULT_REDACTIONS = ((EMAIL_PATTERN, "[EMAIL]", "@"), (AU_PHONE_PATTERN, "[PHONE]", ""))
 
-def redact(c: Column | str, patterns: Sequence[tuple[str, str]] = DEFAULT_REDACTIONS) -> Column:
+
+def redact(c: Column | str, patterns: Sequence[tuple[str, str, str]] = DEFAULT_REDACTIONS) -> Column:
     """Replace every match of each pattern, in order, over the whole text."""
     c = _col(c)
-    for pattern, replacement in patterns:
-        c = F.regexp_replace(c, pattern, replacement)
+    for pattern, replacement, needs in patterns:
+        replaced = F.regexp_replace(c, pattern, replacement)
+        c = F.when(F.contains(c, F.lit(needs)), replaced).otherwise(c) if needs else replaced
     return c
 
 
@@ -40,10 +45,18 @@ def clean_verbatim(c: Column | str, width: int = 2000, patterns=DEFAULT_REDACTIO
     return F.coalesce(F.btrim(F.substring(redact(c, patterns), 1, width), F.lit(WHITESPACE)), F.lit(""))
 
 
+def _words(c: Column | str) -> Column:
+    return F.split(F.lower(_col(c)), WORD_BREAK)
+
+
 def word_set(c: Column | str) -> Column:
     """Distinct lower-case words, split on white space only."""
-    words = F.split(F.lower(_col(c)), f"[{WHITESPACE}]+")
-    return F.array_distinct(F.filter(words, lambda w: w != ""))
+    return F.array_distinct(F.array_remove(_words(c), ""))
+
+
+def keyword_hits(c: Column | str, vocabulary: Sequence[str]) -> Column:
+    """The distinct words of the vocabulary that occur in the text."""
+    return F.array_intersect(_words(c), F.array(*[F.lit(w) for w in vocabulary]))
 
 
 def count_words(words: Column, vocabulary: Sequence[str]) -> Column:

@@ -54,34 +54,23 @@ def asof_contract(facts: DataFrame, contracts: DataFrame, run_date, key: str = "
     return facts.join(live, key, "left")
 
 
-def asof_contract_by_row(
-    facts: DataFrame, contracts: DataFrame, date_col: str, key: str = "poi_id", horizon: str = "2100-01-01"
-) -> DataFrame:
+def asof_contract_by_row(facts: DataFrame, contracts: DataFrame, date_col: str, key: str = "poi_id") -> DataFrame:
     """Contract in force on each row's own date.
 
-    Contracts are spread over the months they cover and joined on key and
-    month, so only the few contracts of one month are compared with a row.
-    ``facts`` needs the unique column ``row_id``.
+    The rows are first reduced to the days each key appears on. Contracts are
+    ranged against those days only, and the answer is joined back on key and
+    day, so a busy key costs as many comparisons as it has days.
     """
-    months = F.explode(
-        F.sequence(
-            F.trunc("effective_from", "month"),
-            F.trunc(F.coalesce(F.col("effective_to"), F.lit(horizon).cast("date")), "month"),
-            F.expr("INTERVAL 1 MONTH"),
-        )
-    )
-    spread = contracts.select(
-        key, "effective_from", "effective_to", F.col("contracted_cvc_gbps").alias("contracted_gbps"), months.alias("_m")
-    )
-    day = F.to_date(F.col(date_col))
-    matched = (
-        facts.select("row_id", key, day.alias("_d"), F.trunc(day, "month").alias("_m"))
-        .join(spread, [key, "_m"])
-        .filter((F.col("effective_from") <= F.col("_d")) & (F.col("effective_to").isNull() | (F.col("effective_to") > F.col("_d"))))
-        .groupBy("row_id")
-        .agg(F.max_by("contracted_gbps", "effective_from").alias("contracted_gbps"))
+    dated = facts.withColumn("_day", F.to_date(F.col(date_col)))
+    days = dated.select(key, "_day").filter(F.col(key).isNotNull() & F.col("_day").isNotNull()).distinct()
+    live = (F.col("effective_from") <= F.col("_day")) & (F.col("effective_to").isNull() | (F.col("effective_to") > F.col("_day")))
+    rate = (
+        days.join(contracts.select(key, "effective_from", "effective_to", "contracted_cvc_gbps"), key)
+        .filter(live)
+        .groupBy(key, "_day")
+        .agg(F.max_by("contracted_cvc_gbps", "effective_from").alias("contracted_gbps"))
     )
-    return facts.join(matched, "row_id", "left")
+    return dated.join(rate, [key, "_day"], "left").drop("_day")
 
 
 def cvc_utilisation(facts: DataFrame, contracts: DataFrame, run_date) -> DataFrame:

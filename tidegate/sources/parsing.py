@@ -44,7 +44,9 @@ def parse_records(raw: DataFrame, body: str, schema: str, keep: Sequence[str] =
     Fields are parsed as text first: a field of the wrong type must not turn a
     well-formed message into a malformed one.
     """
-    parsed = raw.withColumn("_p", parse_json(body, as_text(schema)))
-    bad = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull() | F.col(body).isNull()
+    # Exploding a one-element array pins the parse to one evaluation per row;
+    # a filter on the result would otherwise be pushed below and parse again.
+    parsed = raw.select(*keep, body, F.explode(F.array(parse_json(body, as_text(schema)))).alias("_p"))
+    bad = F.col("_p").isNull() | F.col(f"_p.{CORRUPT}").isNotNull()
     fields = [typed(F.col(f"_p.{f.name}"), f.dataType).alias(f.name) for f in as_struct(schema).fields]
     return parsed.select(*keep, body, bad.alias("_bad"), *fields)

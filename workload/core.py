@@ -245,9 +245,8 @@ def effective_contracts(t: Tables) -> DataFrame:
 LEFT JOIN contracts c ON c.poi_id = user_id AND c.effective_from <= CAST(ts AS DATE) AND (c.effective_to IS NULL OR c.effective_to > CAST(ts AS DATE))""",
 )
 def contract_per_event(t: Tables) -> DataFrame:
-    facts = t.events.select(F.col("event_id").alias("row_id"), F.col("user_id").alias("poi_id"), "ts")
-    out = joins.asof_contract_by_row(facts, v.contracts(t), "ts")
-    return out.select(F.col("row_id").alias("event_id"), F.col("poi_id").alias("user_id"), "ts", "contracted_gbps")
+    facts = t.events.select("event_id", F.col("user_id").alias("poi_id"), "ts")
+    return joins.asof_contract_by_row(facts, v.contracts(t), "ts").withColumnRenamed("poi_id", "user_id")
 
 
 @query(
@@ -368,7 +367,7 @@ regexp_replace(regexp_replace(text, '{EMAIL}', '[EMAIL]', 'g'), '{US_PHONE}', '[
 )
 def verbatim_clean(t: Tables) -> DataFrame:
     return t.documents.select(
-        "doc_id", clean_verbatim("text").alias("clean"), redact("text", [(EMAIL, "[EMAIL]"), (US_PHONE, "[PHONE]")]).alias("redacted")
+        "doc_id", clean_verbatim("text").alias("clean"), redact("text", [(EMAIL, "[EMAIL]", "@"), (US_PHONE, "[PHONE]", "+1 (")]).alias("redacted")
     )
 
 

@@ -112,7 +112,9 @@ def load_revenue(t: Tables) -> DataFrame:
 
 @query(
     "load_revenue_balanced",
-    f"""WITH {v.JOURNALS} SELECT 'journals.balance' AS "check", {D('0')} AS observed, CAST(0.01 AS DOUBLE) AS threshold, true AS passed, 'fail' AS severity""",
+    f"""WITH {v.JOURNALS}, sides AS (SELECT sum(credit) AS credit, sum(debit) AS debit FROM (
+  SELECT credit, debit FROM journals UNION ALL SELECT 0, sum(credit) FROM journals GROUP BY journal_date, rsp_id))
+SELECT 'journals.balance' AS "check", {D('abs(credit - debit)')} AS observed, CAST(0.01 AS DOUBLE) AS threshold, abs(credit - debit) <= 0.01 AS passed, 'fail' AS severity FROM sides""",
 )
 def load_revenue_balanced(t: Tables) -> DataFrame:
     """With the receivable side added the month balances."""
