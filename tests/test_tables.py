@@ -9,7 +9,7 @@ from tidegate.operators import incremental as inc
 from tidegate.operators import merge
 from tidegate.operators.quality import CheckFailed, Gate, enforce
 from tidegate.plans import network, replication
-from tidegate.session import scratch_dir
+from tidegate.session import SHUFFLE_TARGET_BYTES, fit_shuffles, scratch_dir
 from tidegate.sinks import control, exports, storage, tables
 from tidegate.sources.files import EmptyInput
 
@@ -209,3 +209,19 @@ def test_copies_enforce_their_gates(spark, rows, path):
         replication.cvc_billing_copy(spark, lines, path + "b", "2024-01-01")
     with pytest.raises(EmptyInput):
         replication.churn_scores(rows("service_id string, churn_score double, churn_risk_band string, predicted_at timestamp_ntz, prediction_date date"), "2024-01-01")
+
+
+def test_watermark_predicate_reaches_the_scan(spark):
+    df = spark.read.parquet("/root/testdata/sf0.001/orders.parquet")
+    plan = inc.read_incremental(df, "o_orderdate", T0)._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(o_orderdate" in plan
+
+
+def test_shuffles_only_grow(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        assert fit_shuffles(spark, 1) == int(before)
+        assert fit_shuffles(spark, 1_000_000 * SHUFFLE_TARGET_BYTES) == 50_000
+        assert fit_shuffles(spark, 1) == 50_000
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)

@@ -24,6 +24,29 @@ def as_date(d: Column | str | dt.date) -> Column:
     return F.lit(dt.date.fromisoformat(d) if isinstance(d, str) else d)
 
 
+def as_timestamp(t: Column | str | dt.datetime) -> Column:
+    """A UTC wall-clock literal. It has no zone, so comparing it with a stored
+    time leaves the column bare and the predicate reaches the scan."""
+    if isinstance(t, Column):
+        return t
+    if isinstance(t, dt.datetime):
+        if t.tzinfo is not None:
+            t = t.astimezone(dt.timezone.utc).replace(tzinfo=None)
+        t = t.isoformat(sep=" ")
+    return F.lit(t).cast("timestamp_ntz")
+
+
+def on_day(c: Column | str, run_date) -> Column:
+    """The column falls on the date, as a range the scan can use."""
+    d = as_date(run_date)
+    return (_col(c) >= d) & (_col(c) < F.date_add(d, 1))
+
+
+def in_month(c: Column | str, month) -> Column:
+    first = F.trunc(as_date(month), "month")
+    return (_col(c) >= first) & (_col(c) < F.add_months(first, 1))
+
+
 def to_business_time(c: Column | str) -> Column:
     return _col(c) + F.expr(BUSINESS_OFFSET)
 
@@ -90,7 +113,7 @@ def iso_week_label(d: str | dt.date) -> str:
 def in_window(c: Column | str, start, end) -> Column:
     """Half-open window ``[start, end)``."""
     c = _col(c)
-    return (c >= F.lit(start)) & (c < F.lit(end))
+    return (c >= as_timestamp(start)) & (c < as_timestamp(end))
 
 
 def trailing_week(c: Column | str, run_date) -> Column:

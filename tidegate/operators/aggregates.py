@@ -19,7 +19,7 @@ from tidegate.functions.rules import (
     refresh_risk,
     splitter_flag,
 )
-from tidegate.functions.times import as_date, boundary_diff, elapsed_hours, floor_hour, month_label, trailing_week
+from tidegate.functions.times import as_date, as_timestamp, boundary_diff, elapsed_hours, floor_hour, in_month, month_label, trailing_week
 
 
 
@@ -242,7 +242,7 @@ def deferred_amortisation(balances: DataFrame, month, months: int = 24) -> DataF
 def trial_balance(journals: DataFrame, month, tolerance: str = "0.01") -> DataFrame:
     """Empty when the month balances, else one row with the imbalance."""
     return (
-        journals.filter(F.trunc("journal_date", "month") == F.trunc(as_date(month), "month"))
+        journals.filter(in_month("journal_date", month))
         .agg(F.abs(F.sum("credit") - F.sum("debit")).alias("imbalance"))
         .filter(F.col("imbalance") > F.lit(tolerance).cast(MONEY))
     )
@@ -433,7 +433,7 @@ def status_distribution(df: DataFrame, status: str = "status") -> DataFrame:
 
 
 def stale_pipelines(watermarks: DataFrame, now, hours: int = 25) -> DataFrame:
-    age = boundary_diff("hour", F.col("watermark_ts"), F.lit(now).cast("timestamp_ntz"))
+    age = boundary_diff("hour", F.col("watermark_ts"), as_timestamp(now))
     return watermarks.withColumn("hours_since_run", age).filter(F.col("hours_since_run") > hours)
 
 

@@ -8,7 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.times import as_date
+from tidegate.functions.times import as_date, as_timestamp, on_day
 from tidegate.operators.merge import upsert
 
 WATERMARK_SCHEMA = "pipeline_id string, module string, watermark_ts timestamp_ntz"
@@ -35,7 +35,8 @@ def set_watermark(watermarks: DataFrame, pipeline: str, ts, module: str = "") ->
 def read_incremental(df: DataFrame, ts_col: str, watermark, inclusive: bool = True) -> DataFrame:
     if watermark is None:
         return df
-    c, w = F.col(ts_col), F.lit(watermark)
+    is_time = isinstance(watermark, dt.datetime)
+    c, w = F.col(ts_col), as_timestamp(watermark) if is_time else F.lit(watermark)
     return df.filter(c >= w) if inclusive else df.filter(c > w)
 
 
@@ -52,9 +53,8 @@ def capped(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
 def incremental_activations(df: DataFrame, run_date) -> DataFrame:
     """Completed on the date, or still open and created by then."""
     d = as_date(run_date)
-    done = F.to_date("activation_completed_at") == d
-    still_open = F.col("status_code").isin("PND", "PRG") & (F.to_date("order_created_at") <= d)
-    return df.filter(done | still_open)
+    still_open = F.col("status_code").isin("PND", "PRG") & (F.col("order_created_at") < F.date_add(d, 1))
+    return df.filter(on_day("activation_completed_at", d) | still_open)
 
 
 def with_run_metadata(df: DataFrame, run_date) -> DataFrame:

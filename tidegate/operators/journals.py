@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from tidegate.functions.numbers import MONEY
 from tidegate.functions.rules import DEFERRED_ACCOUNT, REVENUE_ACCOUNTS
 from tidegate.functions.text import map_codes
-from tidegate.functions.times import as_date, month_label
+from tidegate.functions.times import as_date, in_month, month_label
 
 # Fixed values of the ledger interface.
 GL_STATUS, GL_LEDGER, GL_CURRENCY = "NEW", 2001, "AUD"
@@ -17,7 +17,7 @@ GL_BATCH_PREFIX = "AIRFLOW-REVREC-"
 
 def billable_lines(lines: DataFrame, headers: DataFrame, month) -> DataFrame:
     """Complete, non-tax invoice lines whose ledger date lies in the month."""
-    kept = headers.filter((F.trunc("gl_date", "month") == F.trunc(as_date(month), "month")) & (F.col("complete_flag") == "Y"))
+    kept = headers.filter(in_month("gl_date", month) & (F.col("complete_flag") == "Y"))
     return lines.filter(F.col("line_type") != "TAX").join(kept, "header_id")
 
 

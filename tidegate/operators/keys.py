@@ -164,7 +164,7 @@ def dense_ids(df: DataFrame, key: str, alias: str, limit: int = WINDOW_KEYS) ->
     single task ever sees the full list.
     """
     keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    if len(keys.limit(limit + 1).select(F.lit(1)).take(limit + 1)) <= limit:
+    if keys.limit(limit + 1).count() <= limit:
         return keys.withColumn(alias, F.row_number().over(Window.orderBy(key)).cast("long"))
     schema = T.StructType([df.schema[key], T.StructField(alias, T.LongType())])
     return keys.orderBy(key).rdd.zipWithIndex().map(lambda r: (r[0][0], r[1] + 1)).toDF(schema)

@@ -8,7 +8,9 @@ batch touches.
 from __future__ import annotations
 
 import datetime as dt
+import operator
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,25 +32,34 @@ def upsert(
     which is what MERGE does.
     """
     keys = list(keys)
+    no_key = reduce(operator.or_, [F.col(k).isNull() for k in keys])
+    keyed, loose = source.filter(~no_key), source.filter(no_key)
     if order_by is not None:
-        any_null = F.lit(False)
-        for k in keys:
-            any_null = any_null | F.col(k).isNull()
-        keyed = dedupe_latest(source.filter(~any_null), keys, order_by)
-        source = keyed.unionByName(source.filter(any_null))
+        keyed = dedupe_latest(keyed, keys, order_by)
     if update_cols is None:
-        kept = target.join(source.select(*keys), keys, "left_anti")
-        return kept.unionByName(source, allowMissingColumns=True).select(*target.columns)
-    # Only some columns change: matched rows keep the rest of the target row.
-    changes = source.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in update_cols], F.lit(True).alias("_hit"))
-    updated = target.join(changes, keys, "left").select(
-        *[
-            F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in update_cols else F.col(c)
-            for c in target.columns
-        ]
-    )
-    inserted = source.join(target.select(*keys), keys, "left_anti")
-    return updated.unionByName(inserted, allowMissingColumns=True).select(*target.columns)
+        kept = target.join(keyed.select(*keys), keys, "left_anti")
+        parts = [kept, keyed, loose]
+    else:
+        parts = [_merged(target.filter(~no_key), keyed, keys, update_cols), target.filter(no_key), loose]
+    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return out.select(*target.columns)
+
+
+def _merged(target: DataFrame, source: DataFrame, keys: list[str], update_cols: Sequence[str]) -> DataFrame:
+    """Matched rows take ``update_cols`` from the source and the rest from the target."""
+    cols = [c for c in target.columns if c not in keys]
+    t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_t"))
+    s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols if c in source.columns], F.lit(True).alias("_in_s"))
+
+    def pick(c: str) -> Column:
+        old = F.col(f"_t_{c}")
+        if c not in source.columns:
+            return old.alias(c)
+        new = F.col(f"_s_{c}")
+        use_new = F.col("_in_s").isNotNull() if c in update_cols else F.col("_in_t").isNull()
+        return F.when(use_new, new).otherwise(old).alias(c)
+
+    return t.join(s, keys, "full_outer").select(*keys, *[pick(c) for c in cols])
 
 
 def replace_range(target: DataFrame, batch: DataFrame, ts_col: str, start, end) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.rules import STATUS_LABELS, nps_category, sentiment, sla_met
 from tidegate.functions.text import DEFAULT_REDACTIONS, clean_verbatim, map_codes
-from tidegate.functions.times import as_date, elapsed_days
+from tidegate.functions.times import as_date, elapsed_days, in_window
 from tidegate.operators.aggregates import nps_scorecard, rsp_kpi_daily
 from tidegate.operators.incremental import incremental_activations
 from tidegate.operators.joins import lookup
@@ -53,7 +53,7 @@ def nps_survey(responses: DataFrame, mapping: DataFrame, run_date: str, patterns
     """The seven days before the run date, cleaned, scored and attributed."""
     d = dt.date.fromisoformat(run_date)
     first = d - dt.timedelta(days=7)
-    week = responses.filter((F.col("completed_at") >= F.lit(first).cast("timestamp_ntz")) & (F.col("completed_at") < F.lit(d).cast("timestamp_ntz")))
+    week = responses.filter(in_window("completed_at", first.isoformat(), run_date))
     scored = score_responses(week, patterns).withColumn("week_start", F.lit(first))
     attributed = lookup(
         scored, mapping, "service_id", ["rsp_id", "rsp_name", "state_territory"],

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.times import business_date
+from tidegate.functions.times import business_date, in_window
 from tidegate.operators.aggregates import poor_signal
 from tidegate.operators.incremental import next_watermark, read_incremental
 from tidegate.operators.keys import dedupe_latest
@@ -34,7 +34,7 @@ def rsp_billing_files(spark: SparkSession, pattern: str, target: DataFrame | Non
 def station_telemetry(spark: SparkSession, path: str, target: DataFrame | None, start, end) -> dict[str, DataFrame]:
     rows = read_jsonl(spark, path, STATION_TELEMETRY).withColumn("run_date", business_date("telemetry_ts"))
     table = rows if target is None else replace_range(target, rows, "telemetry_ts", start, end)
-    hour = table.filter((F.col("telemetry_ts") >= F.lit(start)) & (F.col("telemetry_ts") < F.lit(end)))
+    hour = table.filter(in_window("telemetry_ts", start, end))
     gate = Gate(hour, "telemetry").threshold("poor_signal", F.col("signal_dbm") < -100).report()
     return {"telemetry": table, "poor_signal": poor_signal(hour), "gate": gate}
 

@@ -11,7 +11,7 @@ from tidegate.operators.reconcile import exceeds, recon_summary, reconcile
 
 def rsp_reconciliation(billing: DataFrame, crm: DataFrame, run_date, compare=("rsp_id", "product_code")) -> dict[str, DataFrame]:
     live = billing.filter(
-        F.col("billing_status").isin("ACTIVE", "SUSPENDED") & (F.to_date("effective_from") <= as_date(run_date))
+        F.col("billing_status").isin("ACTIVE", "SUSPENDED") & (F.col("effective_from") < F.date_add(as_date(run_date), 1))
     )
     open_crm = crm.filter(F.col("status").isin("Active", "Suspended"))
     found = reconcile(live, open_crm, "order_id", compare, "rate_per_gbps", ["service_id"])

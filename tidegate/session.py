@@ -31,6 +31,22 @@ def tune(spark: SparkSession) -> SparkSession:
     return spark
 
 
+SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
+
+
+def fit_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = SHUFFLE_TARGET_BYTES) -> int:
+    """Raise the shuffle partition count to suit the input; never lower it.
+
+    Adaptive execution merges partitions that turn out small, but it cannot
+    split the map output of too few, so the count must start high enough.
+    """
+    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    wanted = max(now, min(-(-input_bytes // per_partition), 50_000))
+    if wanted != now:
+        spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    return wanted
+
+
 def build_session(app: str = "tidegate", master: str | None = None, **conf: str) -> SparkSession:
     """Create (or reuse) a session with the settings above."""
     builder = SparkSession.builder.appName(app)

@@ -39,3 +39,8 @@ def newest_file(spark: SparkSession, pattern: str) -> str | None:
 def any_file(spark: SparkSession, pattern: str) -> bool:
     fs, p = _fs(spark, pattern)
     return bool(fs.globStatus(p))
+
+
+def size_of(spark: SparkSession, path: str) -> int:
+    fs, p = _fs(spark, path)
+    return fs.getContentSummary(p).getLength() if fs.exists(p) else 0

@@ -5,13 +5,14 @@ A rerun of the same batch leaves the same rows, except for ``append``.
 
 from __future__ import annotations
 
+import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.times import as_date
+from tidegate.functions.times import as_date, in_window
 from tidegate.operators.keys import dedupe_latest
 from tidegate.operators.merge import upsert
 from tidegate.sinks import storage
@@ -52,14 +53,10 @@ def replace_partition(df: DataFrame, path: str, date_col: str, run_date: str) ->
 def replace_hour(df: DataFrame, path: str, ts_col: str, start: str, end: str) -> None:
     """Replace the hour partitions of ``[start, end)``; hours without rows are cleared."""
     spark = df.sparkSession
-    hours = [
-        r[0]
-        for r in spark.range(1)
-        .select(F.explode(F.sequence(F.lit(start).cast("timestamp_ntz"), F.lit(end).cast("timestamp_ntz") - F.expr("INTERVAL 1 HOUR"), F.expr("INTERVAL 1 HOUR"))).alias("h"))
-        .select(F.date_format("h", "yyyy-MM-dd'T'HH"))
-        .collect()
-    ]
-    batch = df.filter((F.col(ts_col) >= F.lit(start).cast("timestamp_ntz")) & (F.col(ts_col) < F.lit(end).cast("timestamp_ntz")))
+    hour = dt.timedelta(hours=1)
+    first, last = dt.datetime.fromisoformat(start), dt.datetime.fromisoformat(end)
+    hours = [(first + n * hour).strftime("%Y-%m-%dT%H") for n in range(int((last - first) / hour))]
+    batch = df.filter(in_window(ts_col, first, last))
     batch = batch.withColumn("hour", F.date_format(ts_col, "yyyy-MM-dd'T'HH"))
     present = {r[0] for r in batch.select("hour").distinct().collect()}
     for h in hours:
@@ -97,7 +94,8 @@ def merge_into(
 
     Touched partitions are those of the batch plus those that hold a matching
     key today. The second set is found by scanning key and partition columns
-    only, and the partition filter prunes the rewrite to the touched ones.
+    only; it is not needed at all when the partition column is part of the key.
+    The partition filter then prunes the rewrite to the touched ones.
     """
     spark = source.sparkSession
     keys = list(keys)
@@ -106,20 +104,27 @@ def merge_into(
         overwrite_partitions(batch, path, [partition_by])
         return
     target = spark.read.parquet(path)
-    hit = target.join(batch.select(*keys), keys, "left_semi").select(partition_by)
-    touched = [r[0] for r in hit.unionByName(batch.select(partition_by)).distinct().collect()]
+    fresh = {r[0] for r in batch.select(partition_by).distinct().collect()}
+    touched = set(fresh)
+    if partition_by not in keys:
+        held = target.join(batch.select(*keys), keys, "left_semi").select(partition_by)
+        touched |= {r[0] for r in held.distinct().collect()}
     if not touched:
         return
-    current = target.filter(F.col(partition_by).isin(touched))
+    current = target.filter(F.col(partition_by).isin(list(touched)))
     if newest_wins:
         rows = dedupe_latest(current.unionByName(batch), keys, order_by)
     else:
         rows = upsert(current, batch, keys)
     # A partition whose last row moved elsewhere is not in the output: drop it.
     # Only partition names travel to the driver, here and above.
-    left = {r[0] for r in rows.select(partition_by).distinct().collect()}
+    doubtful = touched - fresh
+    emptied = set()
+    if doubtful:
+        alive = rows.filter(F.col(partition_by).isin(list(doubtful))).select(partition_by).distinct()
+        emptied = doubtful - {r[0] for r in alive.collect()}
     overwrite_partitions(rows, path, [partition_by])
-    for value in set(touched) - left:
+    for value in emptied:
         storage.remove(spark, f"{path.rstrip('/')}/{partition_by}={value}")
 
 

@@ -5,11 +5,11 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.functions.times import as_date
+from tidegate.functions.times import as_date, on_day
 from tidegate.sinks import storage
 from tidegate.sources.parsing import as_struct, as_text, parse_records, typed
 
@@ -96,11 +96,9 @@ def hour_prefix(at: dt.datetime, pattern: str = "%Y/%m/%d/%H", back: int = 1) ->
 
 def scan_date(df: DataFrame, date_col: str, run_date) -> DataFrame:
     """One business date. A timestamp column gets a range, which still reaches the scan."""
-    d = as_date(run_date)
     if isinstance(df.schema[date_col].dataType, T.DateType):
-        return df.filter(F.col(date_col) == d)
-    next_day: Column = F.date_add(d, 1)
-    return df.filter((F.col(date_col) >= d.cast("timestamp_ntz")) & (F.col(date_col) < next_day.cast("timestamp_ntz")))
+        return df.filter(F.col(date_col) == as_date(run_date))
+    return df.filter(on_day(date_col, run_date))
 
 
 def read_xml_records(spark: SparkSession, path: str, row_tag: str, schema: str, int_defaults: Sequence[str] = ()) -> DataFrame:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from tidegate.functions.times import as_timestamp
 from tidegate.session import scratch_dir
 from tidegate.sinks.tables import merge_into
 from tidegate.sources.parsing import as_struct, parse_records
@@ -88,7 +89,12 @@ def upsert_sink(
     path: str, keys: Sequence[str], partition_by: str, order_by: Sequence[str], newest_wins: bool = False
 ) -> Callable[[DataFrame, int], None]:
     def handle(batch: DataFrame, batch_id: int) -> None:
-        merge_into(batch, path, keys, partition_by, order_by, newest_wins)
+        # The merge reads its batch more than once; stateful input must run once.
+        kept = batch.persist()
+        try:
+            merge_into(kept, path, keys, partition_by, order_by, newest_wins)
+        finally:
+            kept.unpersist()
 
     return handle
 
@@ -97,7 +103,7 @@ def late_sink(ts: str, closed_before, on_time: Callable[[DataFrame, int], None],
     """Rows of an hour that is already closed go to a side table instead of vanishing."""
 
     def handle(batch: DataFrame, batch_id: int) -> None:
-        late = F.coalesce(F.col(ts) < F.lit(closed_before), F.lit(False))
+        late = F.coalesce(F.col(ts) < as_timestamp(closed_before), F.lit(False))
         kept = batch.persist()
         try:
             on_time(kept.filter(~late), batch_id)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidegate.functions.times import in_window
 from tidegate.operators import incremental as inc
 from tidegate.operators import keys, merge
 from tidegate.operators.aggregates import nps_daily, topic_averages
@@ -68,7 +69,7 @@ LO, HI = dt.datetime(2024, 1, 10, 5), dt.datetime(2024, 1, 10, 9)
 )
 def replace_hour(t: Tables) -> DataFrame:
     rows = t.events.select("event_id", "ts", "event_type")
-    batch = rows.filter((F.col("ts") >= LO) & (F.col("ts") < HI)).withColumn("event_type", F.lit("reloaded"))
+    batch = rows.filter(in_window("ts", LO, HI)).withColumn("event_type", F.lit("reloaded"))
     once = merge.replace_range(rows, batch, "ts", LO, HI)
     return merge.replace_range(once, batch, "ts", LO, HI)
 

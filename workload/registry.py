@@ -8,7 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidegate.session import scratch_dir, tune
+from tidegate.session import fit_shuffles, scratch_dir, tune
+from tidegate.sinks import storage
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -52,7 +53,8 @@ def portable(df: DataFrame) -> DataFrame:
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            return portable(fn(Tables(tune(spark), folder)))
+            fit_shuffles(tune(spark), storage.size_of(spark, folder))
+            return portable(fn(Tables(spark, folder)))
 
         assert name not in QUERIES, name
         QUERIES[name] = run
