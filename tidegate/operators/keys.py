@@ -7,7 +7,7 @@ or the row-number filter is pruned before the exchange.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -48,14 +48,25 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column |
     return _pick(df, keys, order_by, newest=False)
 
 
-def latest_two(df: DataFrame, keys: Sequence[str], order_by: str, values: Sequence[str]) -> DataFrame:
+def newest_rows(df: DataFrame, keys: Sequence[str], order_by: str, n: int) -> DataFrame:
+    """The ``n`` newest rows per key, numbered in ``_rank``; pruned per map task first."""
+    w = Window.partitionBy(*keys).orderBy(*_ordering(df, [order_by], keys, True))
+    return df.withColumn(RANK, F.row_number().over(w)).filter(F.col(RANK) <= n)
+
+
+def latest_two(
+    df: DataFrame,
+    keys: Sequence[str],
+    order_by: str,
+    values: Sequence[str],
+    derive: Callable[[DataFrame], DataFrame] = lambda d: d,
+) -> DataFrame:
     """Newest row per key with the previous values and their difference.
 
-    Only two rows of a key survive the map side, so the second step, a plain
-    aggregate, sees at most two rows per key.
+    ``derive`` may compute the values; it sees the two surviving rows of each
+    key only. The last step is a plain aggregate over those two rows.
     """
-    w = Window.partitionBy(*keys).orderBy(*_ordering(df, [order_by], keys, True))
-    two = df.withColumn(RANK, F.row_number().over(w)).filter(F.col(RANK) <= 2)
+    two = derive(newest_rows(df, keys, order_by, 2))
 
     def at(rank: int, c: str) -> Column:
         return F.max(F.when(F.col(RANK) == rank, F.col(c)))

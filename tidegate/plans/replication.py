@@ -34,7 +34,7 @@ def cvc_billing_copy(spark: SparkSession, source: DataFrame, path: str, run_date
 
 def evm_trends(weeks: DataFrame) -> DataFrame:
     """Latest and prior week of both indices, per project."""
-    t = latest_two(capex_indices(weeks), ["project_id"], "week_ending_date", ["cpi", "spi"])
+    t = latest_two(weeks, ["project_id"], "week_ending_date", ["cpi", "spi"], derive=capex_indices)
     return t.select(
         "project_id", "week_ending_date", "cpi_current", "cpi_prior", "cpi_wow_delta",
         "spi_current", "spi_prior", "spi_wow_delta",

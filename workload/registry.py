@@ -15,16 +15,23 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
 
+_OPENED: dict[tuple[str, str, str], DataFrame] = {}
+
+
 class Tables:
-    """The test tables of one folder, each read on first use."""
+    """The test tables of one folder, each opened once per application.
+
+    Only the file listing and schema are kept; every query scans the files.
+    """
 
     def __init__(self, spark: SparkSession, folder: str):
         self.spark, self.folder = spark, folder
 
     def __getattr__(self, name: str) -> DataFrame:
-        df = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
-        setattr(self, name, df)
-        return df
+        key = (self.spark.sparkContext.applicationId, self.folder, name)
+        if key not in _OPENED or _OPENED[key].sparkSession is not self.spark:
+            _OPENED[key] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return _OPENED[key]
 
     def scratch(self, label: str) -> str:
         return scratch_dir(self.spark, label)
