@@ -9,7 +9,6 @@ from pyspark.sql import functions as F
 
 from tidegate.functions.numbers import MONEY, number_or_zero, percent, ratio, round_dec, share_of
 from tidegate.functions.rules import (
-    HOT_PCT,
     URGENT_PCT,
     budget_risk,
     cabinet_flag,

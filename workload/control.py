@@ -18,7 +18,7 @@ from tidegate.sinks import tables
 from tidegate.streaming import jobs
 from workload import core, landing
 from workload import views as v
-from workload.registry import D, DAY, MONEY, N, R, Tables, query
+from workload.registry import D, MONEY, R, Tables, query
 
 # --- upserts -----------------------------------------------------------------------
 
@@ -294,6 +294,3 @@ def stream_dead_letters(t: Tables) -> DataFrame:
     jobs.drain(stream, jobs.deadletter_sink("order_id string, event_type string", "body", good, dead, ["event_id"]))
     both = [t.spark.read.parquet(p).select("event_id", F.lit(r).alias("route")) for p, r in ((good, "good"), (dead, "dead"))]
     return both[0].unionByName(both[1])
-
-
-__all__ = ["DAY", "N"]

@@ -19,7 +19,7 @@ from tidegate.plans.customer import score_responses, with_sla
 from tidegate.plans.replication import capex_board, evm_trends
 from tidegate.sources.files import scan_date
 from workload import views as v
-from workload.registry import D, DAY, MONEY, N, PCT, R, RATIO, Tables, query
+from workload.registry import D, DAY, N, PCT, RATIO, Tables, query
 
 RUN_DATE = "1999-06-30"
 
@@ -568,6 +568,3 @@ FROM events GROUP BY 1 HAVING date_diff('hour', max(ts), TIMESTAMP '2024-01-31 0
 def stale_pipelines(t: Tables) -> DataFrame:
     marks = t.events.groupBy(F.col("user_id").alias("pipeline_id")).agg(F.max("ts").alias("watermark_ts"))
     return agg.stale_pipelines(marks, _ts("2024-01-31 00:30:00"), hours=10)
-
-
-__all__ = ["MONEY", "R"]

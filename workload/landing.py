@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import clean_strings, mask, normalise_columns, snake_case_columns
+from tidegate.operators.aggregates import billing_monthly
 from tidegate.operators.keys import dedupe_latest
 from tidegate.sinks import exports, tables
 from tidegate.sources import files, landed
@@ -309,8 +311,6 @@ def ml_export(t: Tables) -> DataFrame:
 
 @query("csv_gz_unload", core.BILLING_MONTHLY)
 def csv_gz_unload(t: Tables) -> DataFrame:
-    from tidegate.operators.aggregates import billing_monthly
-
     df = billing_monthly(v.billing_lines(t))
     path = exports.unload_csv_gz(df, t.scratch("csvgz"))
     return t.spark.read.option("header", True).schema(df.schema).csv(path)
@@ -333,8 +333,6 @@ def full_refresh(t: Tables) -> DataFrame:
 
 @query("append_log", core.BILLING_MONTHLY)
 def append_log(t: Tables) -> DataFrame:
-    from tidegate.operators.aggregates import billing_monthly
-
     path = tables.partition_path(t.scratch("append"), "finance", "billing_lines")
     lines = v.billing_lines(t)
     for code in ("F", "O"):
@@ -344,8 +342,6 @@ def append_log(t: Tables) -> DataFrame:
 
 @query("mart_refresh", core.BILLING_MONTHLY)
 def mart_refresh(t: Tables) -> DataFrame:
-    from tidegate.operators.aggregates import billing_monthly
-
     path = t.scratch("mart")
     tables.refresh_mart(lambda: billing_monthly(v.billing_lines(t)), path)
     return tables.register_view(t.spark, "v_billing_monthly", t.spark.read.parquet(path))
@@ -366,10 +362,24 @@ def replace_date(t: Tables) -> DataFrame:
     return t.spark.read.schema("event_id long, user_id long, value double, event_date date").parquet(path)
 
 
-@query("keyed_export")
+@query("keyed_export", "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, o_orderstatus, CAST(o_totalprice AS VARCHAR) AS o_totalprice FROM orders")
 def keyed_export(t: Tables) -> DataFrame:
     """Rows are written by key into a folder that stands in for the store."""
     out = t.scratch("keyed")
     items = exports.as_string_items(t.orders.select("o_orderkey", "o_orderstatus", "o_totalprice"))
     items.write.json(out)
     return t.spark.read.schema("o_orderkey string, o_orderstatus string, o_totalprice string").json(out)
+
+
+@query("add_partitions", "SELECT o_orderkey, o_totalprice, o_orderstatus FROM orders")
+def add_partitions(t: Tables) -> DataFrame:
+    """Folders written outside the catalogue become visible once registered; twice is no error."""
+    path, name = t.scratch("catalogued"), f"orders_{uuid.uuid4().hex}"
+    tables.overwrite_partitions(t.orders.select("o_orderkey", "o_totalprice", "o_orderstatus"), path, ["o_orderstatus"])
+    t.spark.sql(
+        f"CREATE TABLE {name} (o_orderkey bigint, o_totalprice double, o_orderstatus string) "
+        f"USING parquet PARTITIONED BY (o_orderstatus) LOCATION '{path}'"
+    )
+    tables.add_partitions(t.spark, name, [{"o_orderstatus": s} for s in ("F", "O")])
+    tables.add_partitions(t.spark, name, [{"o_orderstatus": s} for s in ("O", "P")])
+    return t.spark.table(name)

@@ -23,11 +23,10 @@ from tidegate.plans import (
     replication,
     wholesale,
 )
-from tidegate.sinks import exports
 from tidegate.sources.schemas import LEGACY_BILLING_COLUMNS
 from workload import control, core, landing, specs
 from workload import views as v
-from workload.registry import D, DAY, MONEY, N, PCT, R, SQL, Tables, query
+from workload.registry import D, DAY, MONEY, PCT, R, SQL, Tables, query
 
 # --- network ---------------------------------------------------------------------------
 
@@ -366,6 +365,3 @@ FROM cx_all GROUP BY GROUPING SETS ((response_date, programme_id, rsp_code), (re
 def load_experience(t: Tables) -> DataFrame:
     inc = itsm.incidents_with_flags(specs.itsm_incidents(t), specs.itsm_slas(t))
     return experience.cx_load(specs.cx_responses(t), specs.programmes(t), control.topics(t), inc, "2024-01-31")["nps_daily"]
-
-
-__all__ = ["N", "exports"]

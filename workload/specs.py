@@ -7,9 +7,8 @@ import datetime as dt
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.functions.times import business_minutes
 from tidegate.operators import aggregates as agg
-from tidegate.operators.keys import any_flag, rework_flag
+from tidegate.operators.keys import rework_flag
 from tidegate.operators.reconcile import ar_gl_reconciliation
 from tidegate.plans import assets as assets_plan
 from tidegate.plans import crm, experience, itsm, ledger
@@ -510,6 +509,3 @@ def cx_fault_correlation(t: Tables) -> DataFrame:
     inc = itsm.incidents_with_flags(itsm_incidents(t), itsm_slas(t))
     r = experience.survey_responses(cx_responses(t), programmes(t))
     return experience.cx_fault_correlation(r, inc, control.topics(t))
-
-
-__all__ = ["any_flag", "business_minutes"]
