@@ -97,9 +97,17 @@ def merge_into(
     only; it is not needed at all when the partition column is part of the key.
     The partition filter then prunes the rewrite to the touched ones.
     """
-    spark = source.sparkSession
-    keys = list(keys)
-    batch = dedupe_latest(source, keys, order_by)
+    # The batch is read to find partitions, to find matches and to write, so it
+    # is kept; lost pieces are computed again from the source.
+    batch = dedupe_latest(source, keys, order_by).persist()
+    try:
+        _merge(batch, path, list(keys), partition_by, order_by, newest_wins)
+    finally:
+        batch.unpersist()
+
+
+def _merge(batch: DataFrame, path: str, keys: list[str], partition_by: str, order_by, newest_wins: bool) -> None:
+    spark = batch.sparkSession
     if not storage.exists(spark, path):
         overwrite_partitions(batch, path, [partition_by])
         return

@@ -89,12 +89,8 @@ def upsert_sink(
     path: str, keys: Sequence[str], partition_by: str, order_by: Sequence[str], newest_wins: bool = False
 ) -> Callable[[DataFrame, int], None]:
     def handle(batch: DataFrame, batch_id: int) -> None:
-        # The merge reads its batch more than once; stateful input must run once.
-        kept = batch.persist()
-        try:
-            merge_into(kept, path, keys, partition_by, order_by, newest_wins)
-        finally:
-            kept.unpersist()
+        # The merge keeps its batch, so stateful input runs once per trigger.
+        merge_into(batch, path, keys, partition_by, order_by, newest_wins)
 
     return handle
 
