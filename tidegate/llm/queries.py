@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import url_filter
+from tidegate.llm import substring_dedup, url_filter
 from tidegate.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,24 @@ URL_RULES = [
 ]
 
 
+@query("op4_substring_dedup", r"""
+WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+words AS (SELECT doc_id, w, len(w) AS n FROM split),
+starts AS (SELECT doc_id, w, unnest(generate_series(1, n - 49)) AS p FROM words WHERE n >= 50),
+spans AS (SELECT doc_id, p, md5(array_to_string(w[p:p + 49], ' ')) AS h FROM starts),
+judged AS (SELECT doc_id, p, min(doc_id) OVER (PARTITION BY h) < doc_id AS hit FROM spans),
+each AS (SELECT doc_id, generate_subscripts(w, 1) AS p, unnest(w) AS word FROM words),
+marked AS (SELECT e.doc_id, e.p, e.word, bool_or(coalesce(j.hit, false)) OVER (PARTITION BY e.doc_id ORDER BY e.p
+    ROWS BETWEEN 49 PRECEDING AND CURRENT ROW) AS gone FROM each e LEFT JOIN judged j USING (doc_id, p)),
+kept AS (SELECT doc_id, count(*) FILTER (gone) AS n_removed,
+    coalesce(string_agg(word, ' ' ORDER BY p) FILTER (NOT gone), '') AS body FROM marked GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(coalesce(k.body, '')) AS kept_sha256
+FROM words d LEFT JOIN kept k USING (doc_id)
+""")
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substring_dedup.remove_repeated(table(spark, folder, "documents")).drop("kept")
+
+
 @query("op5_url_filter", """
 WITH rules(host, path, verdict) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
     ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
