@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import substring_dedup, url_filter
+from tidegate.llm import near_dedup, substring_dedup, url_filter
 from tidegate.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,3 +74,24 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     values = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
     rules = spark.sql(f"SELECT * FROM VALUES {values} AS r(host, path, verdict)")
     return url_filter.judge(table(spark, folder, "pages"), rules)
+
+
+@query("op8_near_dedup", r"""
+WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+raw AS (SELECT doc_id, w, unnest(generate_series(1, greatest(len(w) - 3, 1))) AS p FROM split WHERE len(w) > 0),
+shingles AS (SELECT DISTINCT doc_id, md5_number(array_to_string(w[p:p + 3], ' ')) AS h FROM raw),
+sizes AS (SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM shingles a JOIN shingles b
+    ON a.h = b.h AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM shared JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+    WHERE 100 * c >= 80 * (p.n + q.n - c)),
+ways AS (SELECT x, y FROM links UNION SELECT y, x FROM links),
+reach AS (SELECT x AS node, x AS other FROM ways UNION SELECT r.node, b.y FROM reach r JOIN ways b ON b.x = r.other),
+least AS (SELECT node, min(other) AS component FROM reach GROUP BY node)
+SELECT d.doc_id, coalesce(s.n, 0) AS n_shingles, coalesce(l.component, d.doc_id) AS component_id,
+    d.doc_id = coalesce(l.component, d.doc_id) AS kept
+FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node = d.doc_id
+""")
+def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.near_duplicates(table(spark, folder, "documents"), shingle=4, percent=80)
