@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import near_dedup, substring_dedup, url_filter
+from tidegate.llm import embedding_dedup, near_dedup, substring_dedup, url_filter
 from tidegate.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -39,6 +39,21 @@ URL_RULES = [
 ]
 
 
+@query("op1_embedding_dedup", """
+WITH RECURSIVE v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM v a JOIN v b ON a.vec_id <> b.vec_id
+    AND list_cosine_similarity(a.e, b.e) >= 0.95),
+reach AS (SELECT x AS node, x AS other FROM links UNION SELECT r.node, l.y FROM reach r JOIN links l ON l.x = r.other),
+least AS (SELECT node, min(other) AS component FROM reach GROUP BY node),
+counts AS (SELECT x, count(*) AS n FROM links GROUP BY x)
+SELECT v.vec_id, coalesce(c.n, 0) AS n_links, coalesce(l.component, v.vec_id) AS component_id,
+    v.vec_id = coalesce(l.component, v.vec_id) AS kept
+FROM v LEFT JOIN counts c ON c.x = v.vec_id LEFT JOIN least l ON l.node = v.vec_id
+""")
+def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, folder, "embeddings"), cosine=0.95)
+
+
 @query("op4_substring_dedup", r"""
 WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 words AS (SELECT doc_id, w, len(w) AS n FROM split),

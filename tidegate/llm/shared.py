@@ -85,10 +85,24 @@ def bounds(keys: np.ndarray) -> np.ndarray:
     return np.concatenate([[0], np.flatnonzero(keys[1:] != keys[:-1]) + 1, [len(keys)]])
 
 
-def fixed_width(column: pa.ChunkedArray | pa.Array, dtype: type) -> np.ndarray:
-    """A binary column whose values all have one length, as a matrix."""
-    values = column.to_pylist()
-    return np.frombuffer(b"".join(values), dtype).reshape(len(values), -1)
+def list_rows(values: np.ndarray, kind: pa.DataType) -> pa.Array:
+    """A matrix as a list column."""
+    n, width = values.shape
+    return pa.ListArray.from_arrays(pa.array(np.arange(n + 1, dtype=np.int32) * width), pa.array(values.ravel()).cast(kind))
+
+
+def list_matrix(column: pa.ChunkedArray | pa.Array, fill: float = 0) -> np.ndarray:
+    """A list column as a matrix; shorter lists are filled up."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sizes = column.value_lengths().to_numpy(zero_copy_only=False)
+    values = column.flatten().to_numpy(zero_copy_only=False)
+    width = int(sizes.max()) if len(sizes) else 0
+    if len(values) == len(sizes) * width:
+        return values.reshape(len(sizes), width)
+    out = np.full((len(sizes), width), fill, values.dtype)
+    out[np.arange(width)[None, :] < sizes[:, None]] = values
+    return out
 
 
 # --- texts ---------------------------------------------------------------------
