@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import embedding_dedup, near_dedup, substring_dedup, url_filter
+from tidegate.llm import embedding_dedup, mixing, near_dedup, substring_dedup, url_filter
 from tidegate.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,34 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"), rules)
 
 
+@query("op7_mixing", r"""
+WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
+    CAST('0x' || substr(md5('0:' || doc_id), 1, 15) AS BIGINT) AS turn FROM documents),
+src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+    row_number() OVER (ORDER BY source NULLS LAST) - 1 AS place FROM d GROUP BY source),
+w AS (SELECT *, CAST([3, 1, 2][CAST(place % 3 + 1 AS INT)] AS DOUBLE) AS weight,
+    CAST(source_size AS DOUBLE) * 2.0 AS stop FROM src),
+run AS (SELECT *, 1.5 * CAST(sum(source_size) OVER () AS DOUBLE) AS total,
+    coalesce(sum(stop) OVER f, 0.0) AS gone, sum(weight) OVER () - coalesce(sum(weight) OVER f, 0.0) AS rest
+    FROM w WINDOW f AS (ORDER BY stop / weight, place ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+lev AS (SELECT min_by((total - gone) / rest, struct_pack(a := stop / weight, b := place)) AS level FROM run
+    WHERE weight * (total - gone) / rest < stop),
+t AS (SELECT source, place, source_size, least(stop, coalesce(weight * level, stop)) AS target FROM w, lev),
+seats AS (SELECT place, target / (2 * j - 1) AS quotient
+    FROM (SELECT place, target, unnest(generate_series(1, CAST(target / 64 AS BIGINT) + 40)) AS j FROM t WHERE target > 0)),
+won AS (SELECT place, count(*) AS blocks FROM (SELECT place FROM seats ORDER BY quotient DESC, place
+    LIMIT (SELECT CAST(round(sum(target) / 64) AS BIGINT) FROM t)) GROUP BY place),
+plan AS (SELECT t.*, least(coalesce(blocks, 0) * 64, 2 * source_size) AS words FROM t LEFT JOIN won USING (place)),
+ring AS (SELECT d.doc_id, d.size, p.source_size, p.target, p.words, coalesce(sum(d.size) OVER (PARTITION BY p.place
+    ORDER BY d.turn, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+    FROM d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
+SELECT doc_id, size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0 ELSE words // source_size * size
+    + greatest(least(start + size, words % source_size) - start, 0) END AS BIGINT) AS taken FROM ring
+""")
+def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
+    return mixing.mix(table(spark, folder, "documents")).drop("source")
+
+
 @query("op8_near_dedup", r"""
 WITH RECURSIVE split AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
     'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
