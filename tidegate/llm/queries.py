@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import embedding_dedup, mixing, near_dedup, substring_dedup, url_filter
+from tidegate.llm import embedding_dedup, mixing, near_dedup, packing, substring_dedup, url_filter
 from tidegate.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -91,6 +91,17 @@ def op5_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_filter.judge(table(spark, folder, "pages"), rules)
 
 
+def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+@query("op6_packing")
+def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return packing.pack(table(spark, folder, "documents"), tokenizer_path())
+
+
 @query("op7_mixing", r"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,
     CAST('0x' || substr(md5('0:' || doc_id), 1, 15) AS BIGINT) AS turn FROM documents),
