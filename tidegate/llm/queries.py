@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tidegate.llm import embedding_dedup, mixing, near_dedup, packing, substring_dedup, url_filter
+from tidegate.llm import embedding_dedup, mixing, near_dedup, packing, substring_dedup, url_filter, warc_packages
 from tidegate.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -149,3 +149,15 @@ FROM documents d LEFT JOIN sizes s USING (doc_id) LEFT JOIN least l ON l.node =
 """)
 def op8_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.near_duplicates(table(spark, folder, "documents"), shingle=4, percent=80)
+
+
+@query("op9_warc_packages", """
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+d AS (SELECT page_id, strlen(body) AS n, sha1(body) AS digest FROM p),
+f AS (SELECT *, CASE WHEN n >= 1000 THEN max(page_id) OVER (PARTITION BY digest) END AS last FROM d)
+SELECT page_id, n AS payload_bytes, digest AS payload_digest,
+    CASE WHEN last <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+    CASE WHEN last <> page_id THEN last END AS refers_to FROM f
+""")
+def op9_warc_packages(spark: SparkSession, folder: str) -> DataFrame:
+    return warc_packages.archived(spark, table(spark, folder, "pages"))

@@ -18,6 +18,8 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back: computed once, lineage cut, safe from lost executors."""
     path = scratch_dir(df.sparkSession, label)
     df.write.parquet(path)
+    # Shuffle files are deleted once the driver collects what refers to them; else they pile up until the job ends.
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

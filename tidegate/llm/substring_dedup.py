@@ -97,6 +97,7 @@ def _first_level(length: int):
 
 def _second_level(length: int):
     half = length // 2
+    spread = length - half + 1
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches):
@@ -104,14 +105,15 @@ def _second_level(length: int):
             n = batch.num_rows
             at = batch["at"]
             anchors = at.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
-            begin = words.first[np.repeat(np.arange(n), at.value_lengths().to_numpy(zero_copy_only=False))]
-            ha, hb = windows(words.hashes(), length), windows(words.hashes(1), length)
-            marks = np.zeros(len(ha) + length + 1, np.int64)
-            low, high = np.maximum(anchors + half - length, 0) + begin, anchors + begin + 1
-            fits = low < len(ha)
-            np.add.at(marks, low[fits], 1)
-            np.add.at(marks, np.minimum(high[fits], len(marks) - 1), -1)
-            starts, doc = _doc_of(words, np.flatnonzero(np.cumsum(marks)[: len(ha)] > 0), length)
+            anchors += words.first[np.repeat(np.arange(n), at.value_lengths().to_numpy(zero_copy_only=False))]
+            one = words.hashes()
+            h = windows(one, half)
+            ha, hb = windows(one, length), windows(words.hashes(1), length)
+            starts, doc = _doc_of(words, np.arange(len(ha)), length)
+            # Only windows whose own least half-length window survived.
+            lows = _slide(h, spread, np.minimum) if len(ha) else h
+            alive = np.isin(lows[starts], h[anchors[anchors < len(h)]])
+            starts, doc = starts[alive], doc[alive]
             # One row per document and distinct window; "which" leads from a start to its window.
             order = np.lexsort((hb[starts], ha[starts], doc))
             a, b, d = ha[starts][order], hb[starts][order], doc[order]
@@ -121,9 +123,11 @@ def _second_level(length: int):
             first_of = np.searchsorted(d[new], np.arange(n))
             which = np.empty(len(a), np.int64)
             which[order] = number - first_of[d]
+            sha = [hashlib.sha256(b" ".join(t.split())) for t in _texts(batch["text"])]
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["doc_id"],
-                "sha": pa.array([hashlib.sha256(b" ".join(t.split())).hexdigest() for t in _texts(batch["text"])]),
+                "tag": pa.array([int.from_bytes(x.digest()[:4]) >> 1 for x in sha], pa.int64()),
+                "sha": pa.array([x.hexdigest() for x in sha]),
                 "text": batch["text"],
                 "window_a": _lists(a[new].view(np.int64), d[new], n, pa.int64()),
                 "window_b": _lists((b[new] >> np.uint64(33)).astype(np.int32), d[new], n, pa.int32()),
@@ -177,27 +181,28 @@ def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
         able.select("doc_id", "sha").join(firsts, "sha").filter(F.col("doc_id") > F.col("first_id"))
         .select("doc_id", "sha").distinct()
     )
-    anchors = (
-        able.join(firsts.withColumnRenamed("first_id", "doc_id"), ["sha", "doc_id"], "left_semi")
-        .select("doc_id", F.explode(F.arrays_zip("anchor", "at")).alias("a"))
-        .select("doc_id", "a.anchor", "a.at")
-    )
+    anchors = able.select("doc_id", F.explode(F.arrays_zip("anchor", "at")).alias("a")).select("doc_id", "a.*")
     several = (
         anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .filter("low < high").select("anchor")
     )
-    survivors = anchors.join(several, "anchor").groupBy("doc_id").agg(F.collect_list("at").alias("at"))
+    survivors = (
+        anchors.join(several, "anchor").groupBy("doc_id").agg(F.collect_list("at").alias("at"))
+        .join(firsts.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi")
+    )
     suspects = stored(
         base.join(survivors, "doc_id").mapInArrow(
             _second_level(length),
-            "doc_id long, sha string, text string, window_a array<long>, window_b array<int>,"
+            "doc_id long, tag long, sha string, text string, window_a array<long>, window_b array<int>,"
             " start array<int>, which array<int>",
         ),
         "substring-windows",
     )
+    # The place of a window among its document's, and in the upper half a mark of the document's text.
+    place = (F.shiftleft("tag", 32) + F.col("i")).alias("place")
     full = suspects.select(
-        "doc_id", "sha", F.posexplode(F.arrays_zip("window_a", "window_b")).alias("i", "w")
-    ).select("doc_id", "sha", "i", "w.window_a", "w.window_b")
+        "doc_id", "tag", F.posexplode(F.arrays_zip("window_a", "window_b")).alias("i", "w")
+    ).select("doc_id", place, "w.window_a", "w.window_b")
     repeated = (
         full.groupBy("window_a", "window_b")
         .agg(F.min("doc_id").alias("first_id"), F.max("doc_id").alias("last_id"))
@@ -207,14 +212,14 @@ def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
     hits = (
         full.join(repeated, ["window_a", "window_b"])
         .filter(F.col("doc_id") > F.col("first_id"))
-        .groupBy("doc_id", "sha")
-        .agg(F.collect_set("i").alias("hit"))
+        .groupBy("doc_id", F.shiftright("place", 32).cast("int").alias("mark"))
+        .agg(F.collect_set(F.col("place").bitwiseAND(F.lit(2**32 - 1)).cast("int")).alias("hit"))
     )
     cut = (
-        suspects.select("doc_id", "sha", "text", "start", "which")
-        .dropDuplicates(["doc_id", "sha"])
-        .join(hits, ["doc_id", "sha"])
+        suspects.select("doc_id", F.col("tag").cast("int").alias("mark"), "sha", "text", "start", "which")
+        .join(hits, ["doc_id", "mark"])
         .mapInArrow(_remove(length), "doc_id long, sha string, n_removed long, kept string, kept_sha256 string")
+        .dropDuplicates(["doc_id", "sha"])
     )
     return (
         whole.select("doc_id", "n_words", "sha")
