@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import embedding_dedup, mixing, near_dedup, neighbours, packing, substring_dedup, url_filter, warc_packages
+from tidegate.llm import embedding_dedup, language, mixing, near_dedup, neighbours, packing, substring_dedup, url_filter, warc_packages
 from tidegate.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +55,13 @@ def op1_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return embedding_dedup.near_vectors(table(spark, folder, "embeddings"), cosine=0.95)
 
 
+@query("op2_language")
+def op2_language(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text", "lang")
+    third = language.fold(3)
+    return language.identify(docs, third != 1).select("doc_id", (third == 1).alias("held_out"), "lang_pred", "score")
+
+
 @query("op4_substring_dedup", r"""
 WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 words AS (SELECT doc_id, w, len(w) AS n FROM split),
