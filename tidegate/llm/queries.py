@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import embedding_dedup, language, mixing, near_dedup, neighbours, packing, substring_dedup, url_filter, warc_packages
+from tidegate.llm import embedding_dedup, language, mixing, near_dedup, neighbours, packing, quality, substring_dedup, url_filter, warc_packages
 from tidegate.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -62,6 +62,16 @@ def op2_language(spark: SparkSession, folder: str) -> DataFrame:
     return language.identify(docs, third != 1).select("doc_id", (third == 1).alias("held_out"), "lang_pred", "score")
 
 
+@query("op3_quality")
+def op3_quality(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    fifth = language.fold(5)
+    scored = quality.score(docs, table(spark, folder, "labels"), fifth != 0)
+    return scored.select(
+        "doc_id", (fifth == 0).alias("held_out"), "score", (F.col("score") >= 0.3).cast("int").alias("predicted")
+    )
+
+
 @query("op4_substring_dedup", r"""
 WITH split AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 words AS (SELECT doc_id, w, len(w) AS n FROM split),

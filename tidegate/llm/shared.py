@@ -109,8 +109,8 @@ def list_matrix(column: pa.ChunkedArray | pa.Array, fill: float = 0) -> np.ndarr
 
 # --- texts ---------------------------------------------------------------------
 
-_SPACE = np.zeros(256, bool)
-_SPACE[[9, 10, 11, 12, 13, 32]] = True
+SPACE = np.zeros(256, bool)
+SPACE[[9, 10, 11, 12, 13, 32]] = True
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -141,17 +141,17 @@ def pieces(batches: Iterable[pa.RecordBatch], text: str = "text") -> Iterator[pa
             yield batch.slice(a, b - a)
 
 
-def _offsets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+def offsets(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     column = column.fill_null("")
     kind = np.int64 if pa.types.is_large_string(column.type) else np.int32
-    _, offsets, data = column.buffers()
-    at = np.frombuffer(offsets, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
+    _, places, data = column.buffers()
+    at = np.frombuffer(places, kind)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     raw = np.frombuffer(data, np.uint8)[at[0] : at[-1]] if data is not None else np.zeros(0, np.uint8)
     return raw, at - at[0]
 
 
 def _lengths(column: pa.Array) -> np.ndarray:
-    return np.diff(_offsets(column)[1])
+    return np.diff(offsets(column)[1])
 
 
 class Words:
@@ -162,9 +162,9 @@ class Words:
     """
 
     def __init__(self, column: pa.Array, lower: bool = False):
-        raw, at = _offsets(column)
+        raw, at = offsets(column)
         self.raw = _LOWER[raw] if lower else raw
-        solid = ~_SPACE[raw]
+        solid = ~SPACE[raw]
         begins = solid.copy()
         begins[1:] &= ~solid[:-1]
         heads = at[:-1][at[:-1] < len(raw)]
