@@ -59,11 +59,13 @@ def test_rework_flag_brute_force(rows):
         assert r["near"] == any(abs(r["at"] - d[2]) <= span for d in others), r
 
 
-def test_dense_ids_both_ways(rows):
+def test_dense_ids(rows):
     df = rows("rsp string", ("c",), ("a",), ("b",), ("a",), (None,))
     want = [("a", 1), ("b", 2), ("c", 3)]
     assert tuples(keys.dense_ids(df, "rsp", "n"), "rsp") == want
-    assert tuples(keys.dense_ids(df, "rsp", "n", limit=2), "rsp") == want
+    many = rows("rsp string", *[(f"k{n:04d}",) for n in range(500) for _ in range(2)])
+    assert tuples(keys.dense_ids(many, "rsp", "n"), "rsp") == [(f"k{n:04d}", n + 1) for n in range(500)]
+    assert keys.dense_ids(df.limit(0), "rsp", "n").count() == 0
 
 
 def test_any_flag(rows):

@@ -93,9 +93,10 @@ def test_redaction(values):
     strict = [(text.STRICT_PHONE_PATTERN, "[PHONE]", "")]
     assert values("t string", [("call +61412345678",)], v=text.redact("t", strict)) == ["call [PHONE]"]
     long = "y" * 2001
-    assert values("t string", [(long,)], v=F.length(text.clean_verbatim("t"))) == [2000]
+    assert values("t string", [(long,)], v=F.length(text.clean_verbatim("t"))) == [2001]
+    assert values("t string", [(long,)], v=F.length(text.clean_verbatim("t", 2000))) == [2000]
     # The address straddles the cut: it is redacted before the text is cut.
-    assert values("t string", [("y" * 1995 + " someone@example.com",)], v=text.clean_verbatim("t"))[0].endswith(" [EMA")
+    assert values("t string", [("y" * 1995 + " someone@example.com",)], v=text.clean_verbatim("t", 2000))[0].endswith(" [EMA")
 
 
 def test_text_helpers(values):

@@ -9,7 +9,7 @@ from tidegate.operators import incremental as inc
 from tidegate.operators import merge
 from tidegate.operators.quality import CheckFailed, Gate, enforce
 from tidegate.plans import network, replication
-from tidegate.session import SHUFFLE_TARGET_BYTES, fit_shuffles, scratch_dir
+from tidegate.session import SHUFFLE_TARGET_BYTES, fit_shuffles, scratch_dir, shared_dir
 from tidegate.sinks import control, exports, storage, tables
 from tidegate.sources.files import EmptyInput
 
@@ -187,16 +187,17 @@ def test_load_strategy(rows):
     assert content(inc.load_table("sf_cases", target, extract, ["k"], "ts", 2)) == [(1, 1), (2, 5)]
 
 
-def test_outage_poll_keeps_what_the_limit_left(rows):
+def test_outage_polls_lose_no_row_of_a_shared_time(rows):
     src = rows("sys_id int, sys_updated_on timestamp_ntz, resolved_at timestamp_ntz, affected_poi_id int, premises_count string",
-               *[(n, T0 + dt.timedelta(minutes=n), None, n, "3000") for n in range(5)])
+               *[(n, T0 + dt.timedelta(minutes=n // 5), None, n, "3000") for n in range(15)])
     poi = rows("poi_id int, poi_name string, state_territory string, technology_type string", (1, "one", "s", "t"))
-    seen, mark, target = set(), T0 - dt.timedelta(minutes=1), None
-    for _ in range(3):
-        out = network.outage_incidents(src, poi, target, mark, limit=2)
-        seen |= {r["sys_id"] for r in out["batch"].collect()}
+    seen, mark, target = [], T0 - dt.timedelta(minutes=1), None
+    for poll in range(3):
+        visible = src.filter(F.col("sys_updated_on") <= T0 + dt.timedelta(minutes=poll))
+        out = network.outage_incidents(visible, poi, target, mark)
+        seen += [r["sys_id"] for r in out["batch"].collect()]
         target, mark = out["incidents"], out["watermark"]()
-    assert seen == {0, 1, 2, 3, 4} and target.count() == 5
+    assert sorted(seen) == list(range(15)) and target.count() == 15
     assert network.outage_incidents(src, poi, target, mark)["watermark"]() == mark
 
 
@@ -217,11 +218,30 @@ def test_watermark_predicate_reaches_the_scan(spark):
     assert "GreaterThanOrEqual(o_orderdate" in plan
 
 
-def test_shuffles_only_grow(spark):
+def test_scratch_needs_a_shared_folder(spark):
+    class Elsewhere:
+        conf = spark.conf
+
+        class sparkContext:
+            master, applicationId = "local-cluster[2,1,1024]", "x"
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        shared_dir(Elsewhere)
+    assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_upsert_takes_one_row_of_a_repeated_key(rows):
+    target, source = rows("k int, v int", (1, 1)), rows("k int, v int", (1, 2), (1, 3), (None, 4), (None, 4))
+    assert content(merge.upsert(target, source, ["k"])) == [(None, 4), (None, 4), (1, 3)]
+
+
+def test_shuffles_follow_the_input(spark):
     before = spark.conf.get("spark.sql.shuffle.partitions")
     try:
         assert fit_shuffles(spark, 1) == int(before)
-        assert fit_shuffles(spark, 1_000_000 * SHUFFLE_TARGET_BYTES) == 50_000
-        assert fit_shuffles(spark, 1) == 50_000
+        assert fit_shuffles(spark, 1_000_000 * SHUFFLE_TARGET_BYTES) == 1_000_000
+        assert fit_shuffles(spark, 1) == int(before)
+        spark.conf.set("spark.sql.shuffle.partitions", "9")
+        assert fit_shuffles(spark, 1) == 9
     finally:
         spark.conf.set("spark.sql.shuffle.partitions", before)

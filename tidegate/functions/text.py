@@ -40,9 +40,12 @@ def redact(c: Column | str, patterns: Sequence[tuple[str, str, str]] = DEFAULT_R
     return c
 
 
-def clean_verbatim(c: Column | str, width: int = 2000, patterns=DEFAULT_REDACTIONS) -> Column:
-    """Redact, keep at most ``width`` characters, strip; a missing text is empty."""
-    return F.coalesce(F.btrim(F.substring(redact(c, patterns), 1, width), F.lit(WHITESPACE)), F.lit(""))
+def clean_verbatim(c: Column | str, width: int | None = None, patterns=DEFAULT_REDACTIONS) -> Column:
+    """Redact and strip; a missing text is empty. ``width`` is for a published column of that width only."""
+    clean = redact(c, patterns)
+    if width is not None:
+        clean = F.substring(clean, 1, width)
+    return F.coalesce(F.btrim(clean, F.lit(WHITESPACE)), F.lit(""))
 
 
 def _words(c: Column | str) -> Column:

@@ -1,4 +1,4 @@
-"""Watermarks, incremental reads and bounded pulls."""
+"""Watermarks and incremental reads."""
 
 from __future__ import annotations
 
@@ -45,11 +45,6 @@ def next_watermark(df: DataFrame, ts_col: str):
     return df.agg(F.max(ts_col).alias("ts")).first()["ts"]
 
 
-def capped(df: DataFrame, n: int, order_by: Sequence[str]) -> DataFrame:
-    """At most ``n`` oldest rows of a poll; the rest waits for the next one."""
-    return df.orderBy(*order_by).limit(n)
-
-
 def incremental_activations(df: DataFrame, run_date) -> DataFrame:
     """Completed on the date, or still open and created by then."""
     d = as_date(run_date)

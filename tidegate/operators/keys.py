@@ -7,13 +7,16 @@ or the row-number filter is pruned before the exchange.
 
 from __future__ import annotations
 
+import operator
 from collections.abc import Callable, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.numbers import round_dec
+from tidegate.session import scratch_dir
 
 RANK = "_rank"
 
@@ -48,6 +51,15 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[Column |
     return _pick(df, keys, order_by, newest=False)
 
 
+SPREAD = "_spread"
+
+
+def with_spread(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Adds a second join key that sends rows without a key, which match nothing, to different places."""
+    no_key = reduce(operator.or_, [F.col(k).isNull() for k in keys])
+    return df.withColumn(SPREAD, F.when(no_key, F.monotonically_increasing_id()).otherwise(F.lit(-1).cast("long")))
+
+
 def newest_rows(df: DataFrame, keys: Sequence[str], order_by: str, n: int) -> DataFrame:
     """The ``n`` newest rows per key, numbered in ``_rank``; pruned per map task first."""
     w = Window.partitionBy(*keys).orderBy(*_ordering(df, [order_by], keys, True))
@@ -164,21 +176,23 @@ def _neighbour(bucket: Column, next_lo: Column | None = None, prev_hi: Column |
     )
 
 
-WINDOW_KEYS = 100_000
-
-
-def dense_ids(df: DataFrame, key: str, alias: str, limit: int = WINDOW_KEYS) -> DataFrame:
-    """Distinct keys numbered 1, 2, 3 … in key order.
+def dense_ids(df: DataFrame, key: str, alias: str) -> DataFrame:
+    """Distinct keys numbered 1, 2, 3 … in key order, at any number of keys.
 
-    A short list is ranked with an ordinary window. A long one is sorted by
-    range over the whole cluster and numbered partition by partition, so no
-    single task ever sees the full list.
+    The keys are dealt by range and written with the number of their range, so
+    that all later steps see the same ranges. A key's number is the count of keys
+    in the ranges before (one row per range) plus its place in its own.
     """
+    spark = df.sparkSession
     keys = df.select(key).filter(F.col(key).isNotNull()).distinct()
-    if keys.limit(limit + 1).count() <= limit:
-        return keys.withColumn(alias, F.row_number().over(Window.orderBy(key)).cast("long"))
-    schema = T.StructType([df.schema[key], T.StructField(alias, T.LongType())])
-    return keys.orderBy(key).rdd.zipWithIndex().map(lambda r: (r[0][0], r[1] + 1)).toDF(schema)
+    path = scratch_dir(spark, "ranges")
+    keys.repartitionByRange(F.col(key)).withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    ranged = spark.read.schema(T.StructType([df.schema[key], T.StructField("_range", T.IntegerType())])).parquet(path)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    starts = ranged.groupBy("_range").agg(F.count("*").alias("_n"))
+    starts = starts.select("_range", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    place = F.row_number().over(Window.partitionBy("_range").orderBy(key))
+    return ranged.withColumn("_place", place).join(starts, "_range").select(key, (F.col("_before") + F.col("_place")).alias(alias))
 
 
 def anonymise(df: DataFrame, key: str, alias: str) -> DataFrame:
@@ -188,5 +202,5 @@ def anonymise(df: DataFrame, key: str, alias: str) -> DataFrame:
 
 
 def with_group_max(df: DataFrame, key: str, value: str, alias: str) -> DataFrame:
-    """Attach the maximum of the key: aggregate then join, not a whole-key window."""
-    return df.join(df.groupBy(key).agg(F.max(value).alias(alias)), key, "left")
+    """Attach the maximum of the key. For groups of bounded size, such as one row a week: the input is read once."""
+    return df.withColumn(alias, F.max(value).over(Window.partitionBy(key)))

@@ -8,15 +8,13 @@ batch touches.
 from __future__ import annotations
 
 import datetime as dt
-import operator
 from collections.abc import Callable, Mapping, Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.times import as_date, in_window
-from tidegate.operators.keys import dedupe_latest
+from tidegate.operators.keys import SPREAD, dedupe_latest, with_spread
 
 
 def upsert(
@@ -29,34 +27,27 @@ def upsert(
     """Update on key match, insert otherwise; the newest source row of a key wins.
 
     Source rows with a null key match nothing and are inserted as they are,
-    which is what MERGE does.
+    which is what MERGE does; of several source rows of one key one is taken, the
+    newest by ``order_by`` and otherwise by all columns. Each input is read once.
     """
-    keys = list(keys)
-    no_key = reduce(operator.or_, [F.col(k).isNull() for k in keys])
-    keyed, loose = source.filter(~no_key), source.filter(no_key)
-    if order_by is not None:
-        keyed = dedupe_latest(keyed, keys, order_by)
-    if update_cols is None:
-        kept = target.join(keyed.select(*keys), keys, "left_anti")
-        parts = [kept, keyed, loose]
-    else:
-        parts = [_merged(target.filter(~no_key), keyed, keys, update_cols), target.filter(no_key), loose]
-    out = reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
-    return out.select(*target.columns)
-
-
-def _merged(target: DataFrame, source: DataFrame, keys: list[str], update_cols: Sequence[str]) -> DataFrame:
-    """Matched rows take ``update_cols`` from the source and the rest from the target."""
+    keys = [*keys, SPREAD]
+    s, t = with_spread(source, keys[:-1]), with_spread(target, keys[:-1])
+    return _merged(t, dedupe_latest(s, keys, order_by or []), keys, update_cols).select(*target.columns)
+
+
+def _merged(target: DataFrame, source: DataFrame, keys: list[str], update_cols: Sequence[str] | None) -> DataFrame:
+    """Matched rows take ``update_cols`` from the source and the rest from the target; without it, all columns."""
     cols = [c for c in target.columns if c not in keys]
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_t"))
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols if c in source.columns], F.lit(True).alias("_in_s"))
 
     def pick(c: str) -> Column:
         old = F.col(f"_t_{c}")
-        if c not in source.columns:
-            return old.alias(c)
-        new = F.col(f"_s_{c}")
-        use_new = F.col("_in_s").isNotNull() if c in update_cols else F.col("_in_t").isNull()
+        new = F.col(f"_s_{c}") if c in source.columns else F.lit(None).cast(target.schema[c].dataType)
+        if update_cols is None:
+            use_new = F.col("_in_s").isNotNull()
+        else:
+            use_new = F.col("_in_s").isNotNull() if c in update_cols and c in source.columns else F.col("_in_t").isNull()
         return F.when(use_new, new).otherwise(old).alias(c)
 
     return t.join(s, keys, "full_outer").select(*keys, *[pick(c) for c in cols])

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.functions.numbers import ratio, round_dec
-from tidegate.operators.keys import dedupe_latest
+from tidegate.operators.keys import SPREAD, dedupe_latest, with_spread
 
 TOLERANCE = "0.01"
 ALERT_AT = 50
@@ -33,24 +33,16 @@ def reconcile(
     """Classify every key: GHOST, ORPHAN, MISMATCH, then RATE_ERR.
 
     One full outer join decides all four types. Rows without a key match
-    nothing, so they skip the join instead of piling up in one partition.
+    nothing; a second join key spreads them over the partitions.
     """
     fields = [*compare, rate]
+    on = [key, SPREAD]
 
     def side(df: DataFrame, prefix: str) -> DataFrame:
-        return df.select(key, *[F.col(c).alias(prefix + c) for c in fields], F.lit(True).alias(prefix + "in"))
-
-    def prepared(df: DataFrame, prefix: str) -> tuple[DataFrame, DataFrame]:
-        keyed = df.filter(F.col(key).isNotNull())
-        return side(dedupe_latest(keyed, [key], order_by), prefix), side(df.filter(F.col(key).isNull()), prefix)
-
-    l_rows, l_unkeyed = prepared(left, "l_")
-    r_rows, r_unkeyed = prepared(right, "r_")
-    both = (
-        l_rows.join(r_rows, key, "full_outer")
-        .unionByName(l_unkeyed, allowMissingColumns=True)
-        .unionByName(r_unkeyed, allowMissingColumns=True)
-    )
+        one = dedupe_latest(with_spread(df, [key]), on, order_by)
+        return one.select(*on, *[F.col(c).alias(prefix + c) for c in fields], F.lit(True).alias(prefix + "in"))
+
+    both = side(left, "l_").join(side(right, "r_"), on, "full_outer")
     differs = F.lit(False)
     for c in compare:
         differs = differs | ~F.col("l_" + c).eqNullSafe(F.col("r_" + c))

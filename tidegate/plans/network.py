@@ -8,13 +8,11 @@ from pyspark.sql import functions as F
 from tidegate.functions.numbers import number_or_zero
 from tidegate.functions.rules import mass_failure
 from tidegate.functions.times import floor_hour, in_window
-from tidegate.operators.incremental import capped, next_watermark, read_incremental
+from tidegate.operators.incremental import next_watermark, read_incremental
 from tidegate.operators.joins import congestion_alerts, cvc_utilisation, lookup
 from tidegate.operators.keys import sustained
 from tidegate.operators.merge import upsert
 
-POLL_LIMIT = 500
-
 
 def cvc_capacity(events: DataFrame, contracts: DataFrame, run_date, start=None, end=None) -> dict[str, DataFrame]:
     """Utilisation of one closed hour (or of all events) against contracts."""
@@ -44,16 +42,14 @@ def enrich_incidents(incidents: DataFrame, poi: DataFrame) -> DataFrame:
 
 
 def outage_incidents(
-    source: DataFrame, poi: DataFrame, target: DataFrame | None, watermark, updated: str = "sys_updated_on", limit: int | None = POLL_LIMIT
+    source: DataFrame, poi: DataFrame, target: DataFrame | None, watermark, updated: str = "sys_updated_on"
 ) -> dict[str, object]:
-    """One poll: newer rows, oldest first up to the page limit, enriched and merged.
+    """One poll: everything past the watermark, enriched and merged.
 
-    The new watermark is the newest row of this poll, so rows beyond the limit
-    are picked up by the next one.
+    The new watermark is the newest row of this poll. A page must not end a poll:
+    rows that share the time at its edge would be passed over by the next one.
     """
     batch = read_incremental(source, updated, watermark, inclusive=False)
-    if limit is not None:
-        batch = capped(batch, limit, [updated, "sys_id"])
     enriched = enrich_incidents(batch, poi)
     merged = enriched if target is None else upsert(target, enriched, ["sys_id"], order_by=[updated])
     return {"incidents": merged, "batch": enriched, "watermark": lambda: next_watermark(batch, updated) or watermark}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -34,16 +37,25 @@ def tune(spark: SparkSession) -> SparkSession:
 SHUFFLE_TARGET_BYTES = 128 * 1024 * 1024
 
 
+# What each application had set before the first query raised it.
+_FIRST_COUNT: dict[str, tuple[int, int]] = {}
+
+
 def fit_shuffles(spark: SparkSession, input_bytes: int, per_partition: int = SHUFFLE_TARGET_BYTES) -> int:
-    """Raise the shuffle partition count to suit the input; never lower it.
+    """Set the shuffle partition count to suit the input, never below what the session came with.
 
     Adaptive execution merges partitions that turn out small, but it cannot
-    split the map output of too few, so the count must start high enough.
+    split the map output of too few, so the count must start high enough. A
+    count that somebody else set meanwhile becomes the new lower bound.
     """
-    now = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    wanted = max(now, min(-(-input_bytes // per_partition), 50_000))
+    app, now = spark.sparkContext.applicationId, int(spark.conf.get("spark.sql.shuffle.partitions"))
+    least, ours = _FIRST_COUNT.get(app, (now, now))
+    if now != ours:
+        least = now
+    wanted = max(least, -(-input_bytes // per_partition))
     if wanted != now:
         spark.conf.set("spark.sql.shuffle.partitions", str(wanted))
+    _FIRST_COUNT[app] = (least, wanted)
     return wanted
 
 
@@ -57,14 +69,26 @@ def build_session(app: str = "tidegate", master: str | None = None, **conf: str)
     return tune(builder.getOrCreate())
 
 
+_PRIVATE: dict[str, str] = {}
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder every executor can reach: the cluster's own checkpoint folder.
 
-    A private temporary folder is used only where the session names none,
-    which is the single-machine test set-up.
+    Without one only a session in a single process (master ``local``) may go on,
+    with one private folder per application that is deleted at its end: elsewhere
+    each executor would write to a disk of its own and reads would miss its files.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
-    return configured or tempfile.mkdtemp(prefix="tidegate-")
+    if configured:
+        return configured
+    context = spark.sparkContext
+    if not re.fullmatch(r"local(\[.*\])?", context.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+    if context.applicationId not in _PRIVATE:
+        _PRIVATE[context.applicationId] = tempfile.mkdtemp(prefix="tidegate-")
+        atexit.register(shutil.rmtree, _PRIVATE[context.applicationId], ignore_errors=True)
+    return _PRIVATE[context.applicationId]
 
 
 def scratch_dir(spark: SparkSession, label: str) -> str:

@@ -11,6 +11,7 @@ from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.functions.times import as_date, in_window
 from tidegate.operators.keys import dedupe_latest
@@ -45,29 +46,59 @@ def replace_partition(df: DataFrame, path: str, date_col: str, run_date: str) ->
     spark = df.sparkSession
     batch = df.filter(F.col(date_col) == as_date(run_date))
     if batch.isEmpty():
-        storage.remove(spark, f"{path.rstrip('/')}/{date_col}={run_date}")
+        storage.remove(spark, partition_folder(spark, path, date_col, run_date))
     else:
         overwrite_partitions(batch, path, [date_col])
 
 
+def read_partitioned(spark: SparkSession, path: str, column: T.StructField) -> DataFrame:
+    """A partitioned table whose partition column keeps the declared type (``007`` stays text)."""
+    schema = spark.read.parquet(path).schema
+    return spark.read.schema(T.StructType([f for f in schema.fields if f.name != column.name] + [column])).parquet(path)
+
+
+def partition_folder(spark: SparkSession, path: str, column: str, value: str | None) -> str:
+    """Folder of one partition value, escaped as Spark's writers do it."""
+    utils = spark.sparkContext._jvm.org.apache.spark.sql.catalyst.catalog.ExternalCatalogUtils
+    return f"{path.rstrip('/')}/{utils.getPartitionPathString(column, value)}"
+
+
 def replace_hour(df: DataFrame, path: str, ts_col: str, start: str, end: str) -> None:
-    """Replace the hour partitions of ``[start, end)``; hours without rows are cleared."""
+    """Replace the rows of ``[start, end)`` in a table partitioned by ``hour``.
+
+    Hours without rows are cleared. Of an hour that the range cuts, the rows
+    outside the range are written again.
+    """
     spark = df.sparkSession
-    hour = dt.timedelta(hours=1)
+    hour, name = dt.timedelta(hours=1), "%Y-%m-%dT%H"
     first, last = dt.datetime.fromisoformat(start), dt.datetime.fromisoformat(end)
-    hours = [(first + n * hour).strftime("%Y-%m-%dT%H") for n in range(int((last - first) / hour))]
+    low = first.replace(minute=0, second=0, microsecond=0)
+    hours = [(low + n * hour).strftime(name) for n in range(max(0, -(-(last - low) // hour)))]
     batch = df.filter(in_window(ts_col, first, last))
     batch = batch.withColumn("hour", F.date_format(ts_col, "yyyy-MM-dd'T'HH"))
-    present = {r[0] for r in batch.select("hour").distinct().collect()}
-    for h in hours:
-        if h not in present:
-            storage.remove(spark, f"{path.rstrip('/')}/hour={h}")
-    if present:
-        overwrite_partitions(batch, path, ["hour"])
+    cut = {h for h, edge in ((hours[0], first), (hours[-1], last)) if edge != edge.replace(minute=0, second=0, microsecond=0)} if hours else ()
+    if cut and storage.exists(spark, path):
+        held = read_partitioned(spark, path, T.StructField("hour", T.StringType()))
+        outside = ~F.coalesce(in_window(ts_col, first, last), F.lit(False))
+        batch = batch.unionByName(held.filter(F.col("hour").isin(sorted(cut)) & outside), allowMissingColumns=True)
+    batch = batch.persist()
+    try:
+        present = {r[0] for r in batch.select("hour").distinct().collect()}
+        if present:
+            overwrite_partitions(batch, path, ["hour"])
+        for h in hours:
+            if h not in present:
+                storage.remove(spark, partition_folder(spark, path, "hour", h))
+    finally:
+        batch.unpersist()
 
 
 def full_refresh(df: DataFrame, path: str) -> None:
-    """Write beside the table, then swap, so a lost job never leaves it half written."""
+    """Write beside the table, then swap, so a lost job never leaves it half written.
+
+    The swap is two renames, between which the table is not there; on an object
+    store a rename copies. Readers that must never miss it need a table format.
+    """
     spark = df.sparkSession
     path = path.rstrip("/")
     token = uuid.uuid4().hex
@@ -111,29 +142,33 @@ def _merge(batch: DataFrame, path: str, keys: list[str], partition_by: str, orde
     if not storage.exists(spark, path):
         overwrite_partitions(batch, path, [partition_by])
         return
-    target = spark.read.parquet(path)
-    fresh = {r[0] for r in batch.select(partition_by).distinct().collect()}
+    column = F.col(partition_by)
+    target = read_partitioned(spark, path, batch.schema[partition_by])
+    # Only partition values travel to the driver, here and below; their texts name the folders.
+    values = [column.alias("value"), column.cast("string").alias("text")]
+    fresh = {tuple(r) for r in batch.select(*values).distinct().collect()}
     touched = set(fresh)
     if partition_by not in keys:
-        held = target.join(batch.select(*keys), keys, "left_semi").select(partition_by)
-        touched |= {r[0] for r in held.distinct().collect()}
+        held = target.join(batch.select(*keys), keys, "left_semi").select(*values)
+        touched |= {tuple(r) for r in held.distinct().collect()}
     if not touched:
         return
-    current = target.filter(F.col(partition_by).isin(list(touched)))
+    some = [v for v, _ in touched if v is not None]
+    among = column.isin(some) if some else F.lit(False)
+    current = target.filter(among | column.isNull() if any(v is None for v, _ in touched) else among)
     if newest_wins:
         rows = dedupe_latest(current.unionByName(batch), keys, order_by)
     else:
         rows = upsert(current, batch, keys)
     # A partition whose last row moved elsewhere is not in the output: drop it.
-    # Only partition names travel to the driver, here and above.
-    doubtful = touched - fresh
+    doubtful = {text for _, text in touched - fresh}
     emptied = set()
     if doubtful:
-        alive = rows.filter(F.col(partition_by).isin(list(doubtful))).select(partition_by).distinct()
-        emptied = doubtful - {r[0] for r in alive.collect()}
+        alive = {r[0] for r in rows.select(column.cast("string")).distinct().collect()}
+        emptied = doubtful - alive
     overwrite_partitions(rows, path, [partition_by])
-    for value in emptied:
-        storage.remove(spark, f"{path.rstrip('/')}/{partition_by}={value}")
+    for text in emptied:
+        storage.remove(spark, partition_folder(spark, path, partition_by, text))
 
 
 def register_view(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:

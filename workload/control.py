@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.functions.times import in_window
 from tidegate.operators import incremental as inc
@@ -60,7 +61,77 @@ def merge_partitioned(t: Tables) -> DataFrame:
     return t.spark.read.parquet(path)
 
 
+def merged_parts(t: Tables, part, moved) -> DataFrame:
+    """Orders partitioned by ``part``; dear ones get price 0 and the partition ``moved``, twice."""
+    path = t.scratch("merge")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", part.alias("p"))
+    tables.overwrite_partitions(rows, path, ["p"])
+    batch = rows.filter("o_totalprice > 400000").withColumns({"p": moved, "o_totalprice": F.lit(0.0)})
+    for _ in range(2):
+        tables.merge_into(batch, path, ["o_orderkey"], "p", ["o_custkey"])
+    return tables.read_partitioned(t.spark, path, rows.schema["p"])
+
+
+DEAR = "o_totalprice > 400000"
+MERGED = f"SELECT o_orderkey, o_custkey, CASE WHEN {DEAR} THEN 0.0 ELSE o_totalprice END AS o_totalprice"
+
+
+@query("merge_null_partition", f"{MERGED}, nullif(o_orderstatus, 'O') AS p FROM orders")
+def merge_null_partition(t: Tables) -> DataFrame:
+    """Rows without a partition value, touched and untouched, all stay."""
+    part = F.when(F.col("o_orderstatus") != "O", F.col("o_orderstatus"))
+    return merged_parts(t, part, F.col("p"))
+
+
+@query("merge_text_partition", f"{MERGED}, lpad(CAST(o_custkey % 10 AS VARCHAR), 3, '0') AS p FROM orders")
+def merge_text_partition(t: Tables) -> DataFrame:
+    """Partition values such as 007 are text and stay text."""
+    return merged_parts(t, F.lpad((F.col("o_custkey") % 10).cast("string"), 3, "0"), F.col("p"))
+
+
+@query(
+    "merge_escaped_partition",
+    f"""{MERGED}, CASE WHEN {DEAR} THEN 'moved: x=1/2' WHEN o_orderstatus = 'P' THEN 'a:b/c d%' ELSE 'dear? ' || o_orderstatus END AS p
+FROM orders WHERE {DEAR} OR o_orderstatus <> 'O'""",
+)
+def merge_escaped_partition(t: Tables) -> DataFrame:
+    """Values that paths escape, with keys that move; a partition that moves as a whole leaves no folder."""
+    name = F.when(F.col("o_orderstatus") == "P", "a:b/c d%").otherwise(F.concat(F.lit("dear? "), "o_orderstatus"))
+    part = F.when((F.col("o_orderstatus") == "O") & (F.col("o_totalprice") > 400000), "goes: away").otherwise(name)
+    out = merged_parts(t, part, F.lit("moved: x=1/2"))
+    return out.filter("p <> 'dear? O'")
+
+
+@query(
+    "merge_time_partition",
+    f"{MERGED}, CASE WHEN {DEAR} THEN TIMESTAMP '2030-01-01 10:30:00' ELSE date_trunc('year', o_orderdate) + INTERVAL 90 MINUTE END AS p FROM orders",
+)
+def merge_time_partition(t: Tables) -> DataFrame:
+    part = F.date_trunc("year", "o_orderdate").cast("timestamp_ntz") + F.expr("INTERVAL 90 MINUTE")
+    return merged_parts(t, part, F.expr("TIMESTAMP_NTZ'2030-01-01 10:30:00'"))
+
+
 LO, HI = dt.datetime(2024, 1, 10, 5), dt.datetime(2024, 1, 10, 9)
+CUT_LO, CUT_HI = dt.datetime(2024, 1, 11, 5, 30), dt.datetime(2024, 1, 11, 7, 10)
+
+
+@query(
+    "replace_hour_path",
+    f"""SELECT event_id, ts, CASE WHEN ts >= TIMESTAMP '{LO}' AND ts < TIMESTAMP '{HI}' THEN 'reloaded'
+WHEN ts >= TIMESTAMP '{CUT_LO}' AND ts < TIMESTAMP '{CUT_HI}' THEN 'again' ELSE event_type END AS event_type,
+strftime(ts, '%Y-%m-%dT%H') AS hour FROM events
+WHERE NOT (ts >= TIMESTAMP '2024-01-12 03:00:00' AND ts < TIMESTAMP '2024-01-12 04:45:00')""",
+)
+def replace_hour_path(t: Tables) -> DataFrame:
+    """Whole hours, hours that the range cuts, and a range whose batch is empty; each replaced twice."""
+    path = t.scratch("hours")
+    rows = t.events.select("event_id", "ts", "event_type")
+    tables.overwrite_partitions(rows.withColumn("hour", F.date_format("ts", "yyyy-MM-dd'T'HH")), path, ["hour"])
+    for _ in range(2):
+        tables.replace_hour(rows.withColumn("event_type", F.lit("reloaded")), path, "ts", str(LO), str(HI))
+        tables.replace_hour(rows.withColumn("event_type", F.lit("again")), path, "ts", str(CUT_LO), str(CUT_HI))
+        tables.replace_hour(rows.limit(0), path, "ts", "2024-01-12 03:00:00", "2024-01-12 04:45:00")
+    return tables.read_partitioned(t.spark, path, T.StructField("hour", T.StringType()))
 
 
 @query(
@@ -176,11 +247,24 @@ def incremental_pull(t: Tables) -> DataFrame:
     return out[0].unionByName(out[1]).unionByName(out[2])
 
 
-@query("page_limit", "SELECT o_orderkey, o_orderdate FROM orders WHERE o_orderdate > TIMESTAMP '2001-07-01' ORDER BY o_orderdate, o_orderkey LIMIT 500")
-def page_limit(t: Tables) -> DataFrame:
-    """A poll returns the 500 oldest changes; the limit is the feature."""
-    rows = inc.read_incremental(t.orders.select("o_orderkey", "o_orderdate"), "o_orderdate", MARK, inclusive=False)
-    return inc.capped(rows, 500, ["o_orderdate", "o_orderkey"])
+@query(
+    "watermark_cycle",
+    """SELECT o_orderkey, o_orderdate, CASE WHEN o_orderdate <= TIMESTAMP '1998-01-01' THEN 1 WHEN o_orderdate <= TIMESTAMP '2000-01-01' THEN 2
+ELSE 3 END AS poll FROM orders UNION ALL SELECT -1, max(o_orderdate), 0 FROM orders""",
+)
+def watermark_cycle(t: Tables) -> DataFrame:
+    """Three polls of a growing source: pull, load, move the watermark, pull again. Many orders share a time."""
+    source = t.orders.select("o_orderkey", "o_orderdate")
+    marks = t.spark.createDataFrame([], inc.WATERMARK_SCHEMA)
+    target = source.withColumn("poll", F.lit(0)).limit(0)
+    for poll, until in enumerate((dt.datetime(1998, 1, 1), dt.datetime(2000, 1, 1), None), 1):
+        visible = source if until is None else source.filter(F.col("o_orderdate") <= until)
+        mark = inc.read_watermark(marks, "orders")
+        batch = inc.read_incremental(visible, "o_orderdate", mark, inclusive=False).withColumn("poll", F.lit(poll))
+        target = merge.upsert(target, batch, ["o_orderkey"], order_by=["o_orderdate"])
+        marks = inc.set_watermark(marks, "orders", inc.next_watermark(batch, "o_orderdate"))
+    last = marks.select(F.lit(-1).cast("long").alias("o_orderkey"), F.col("watermark_ts").alias("o_orderdate"), F.lit(0).alias("poll"))
+    return target.unionByName(last)
 
 
 @query("watermark_table", "SELECT 'feed' AS pipeline_id, o_orderstatus AS module, max(o_orderdate) AS watermark_ts FROM orders GROUP BY 2")

@@ -50,7 +50,7 @@ def load_outages(t: Tables) -> DataFrame:
     rows = rows.withColumn("sys_updated_on", F.col("opened_at"))
     poi, mark = core.poi_registry(t), dt.datetime(1999, 1, 1)
     target = network.enrich_incidents(rows.filter(F.col("sys_updated_on") <= mark), poi)
-    return network.outage_incidents(rows, poi, target, mark, limit=None)["incidents"]
+    return network.outage_incidents(rows, poi, target, mark)["incidents"]
 
 
 # --- customer ----------------------------------------------------------------------------

@@ -25,9 +25,10 @@ class Tables:
     """
 
     def __init__(self, spark: SparkSession, folder: str):
-        self.spark, self.folder = spark, folder
+        self.spark, self.folder, self.used = spark, folder, set()
 
     def __getattr__(self, name: str) -> DataFrame:
+        self.used.add(name)
         key = (self.spark.sparkContext.applicationId, self.folder, name)
         if key not in _OPENED or _OPENED[key].sparkSession is not self.spark:
             _OPENED[key] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
@@ -60,8 +61,11 @@ def portable(df: DataFrame) -> DataFrame:
 def query(name: str, sql: str | None = None):
     def register(fn: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]:
         def run(spark: SparkSession, folder: str) -> DataFrame:
-            fit_shuffles(tune(spark), storage.size_of(spark, folder))
-            return portable(fn(Tables(spark, folder)))
+            tables = Tables(tune(spark), folder)
+            out = portable(fn(tables))
+            # The result runs later, so the count may follow the tables that the plan turned out to use.
+            fit_shuffles(spark, sum(storage.size_of(spark, f"{folder}/{name}.parquet") for name in tables.used))
+            return out
 
         assert name not in QUERIES, name
         QUERIES[name] = run
