@@ -220,7 +220,8 @@ def test_watermark_predicate_reaches_the_scan(spark):
 
 def test_scratch_needs_a_shared_folder(spark):
     class Elsewhere:
-        conf = spark.conf
+        class conf:
+            get = staticmethod(lambda key, default: default)
 
         class sparkContext:
             master, applicationId = "local-cluster[2,1,1024]", "x"
