@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidegate.operators import aggregates as agg
 from tidegate.plans import assets as assets_plan
@@ -20,14 +21,21 @@ from tidegate.plans import (
     itsm,
     ledger,
     network,
+    publish,
     replication,
     wholesale,
 )
+from tidegate.sinks import tables
 from tidegate.sources.schemas import LEGACY_BILLING_COLUMNS
 from workload import control, core, landing, specs
 from workload import views as v
 from workload.registry import D, DAY, MONEY, PCT, R, SQL, Tables, query
 
+def back(t: Tables, path: str, partition: str = publish.MONTH) -> DataFrame:
+    """What a load has written, without the partition column."""
+    return tables.read_partitioned(t.spark, path, T.StructField(partition, T.StringType())).drop(partition)
+
+
 # --- network ---------------------------------------------------------------------------
 
 
@@ -45,12 +53,14 @@ FROM incidents LEFT JOIN accounts ON c_custkey = affected_poi_id"""
 
 @query("load_outages", OUTAGES)
 def load_outages(t: Tables) -> DataFrame:
-    """Everything before the watermark is loaded already; one poll brings the rest."""
+    """A first poll loads everything up to a day, a second one, run twice, the rest."""
     rows = v.incidents(t).select("sys_id", "opened_at", "resolved_at", "premises_count", "affected_poi_id")
     rows = rows.withColumn("sys_updated_on", F.col("opened_at"))
-    poi, mark = core.poi_registry(t), dt.datetime(1999, 1, 1)
-    target = network.enrich_incidents(rows.filter(F.col("sys_updated_on") <= mark), poi)
-    return network.outage_incidents(rows, poi, target, mark)["incidents"]
+    poi, path = core.poi_registry(t), t.scratch("outages")
+    mark = publish.outage_poll(rows.filter(F.col("sys_updated_on") <= dt.datetime(1999, 1, 1)), poi, path, None)
+    for _ in range(2):
+        publish.outage_poll(rows, poi, path, mark)
+    return back(t, path)
 
 
 # --- customer ----------------------------------------------------------------------------
@@ -63,9 +73,10 @@ FROM sla WHERE {core.OPEN_OR_DONE}""",
 )
 def load_activations(t: Tables) -> DataFrame:
     """Run twice for the same date: the second merge changes nothing."""
-    source = v.activations(t)
-    first = customer.rsp_activations(source, None, core.ACT_DATE)["activations"]
-    return customer.rsp_activations(source, first, core.ACT_DATE)["activations"]
+    path = t.scratch("activations")
+    for _ in range(2):
+        publish.activations(v.activations(t), path, core.ACT_DATE)
+    return back(t, path)
 
 
 WEEK = "completed_at >= DATE '2024-01-08' AND completed_at < DATE '2024-01-15'"
@@ -137,10 +148,11 @@ def load_regulatory_report(t: Tables) -> DataFrame:
 
 @query("load_node_health", core.ALERTS)
 def load_node_health(t: Tables) -> DataFrame:
-    samples = v.node_samples(t)
-    early = samples.filter(F.col("sample_ts") < dt.datetime(2024, 1, 16))
-    so_far = infrastructure.node_health(early)["alerts"]
-    return infrastructure.node_health(samples, so_far)["alerts"]
+    samples, path = v.node_samples(t), t.scratch("alerts")
+    publish.node_alerts(samples.filter(F.col("sample_ts") < dt.datetime(2024, 1, 16)), path)
+    for _ in range(2):
+        publish.node_alerts(samples, path)
+    return back(t, path)
 
 
 @query("load_port_audit", core.REMEDIATION)
@@ -217,9 +229,10 @@ def load_rsp_billing_files(t: Tables) -> DataFrame:
         "charge_amount",
         F.lit("AUD").alias("currency"),
     ).write.option("header", True).csv(path)
-    target = integrations.rsp_billing_files(t.spark, f"{path}/*.csv", None, "1999-06-30")["statements"]
-    out = integrations.rsp_billing_files(t.spark, f"{path}/*.csv", target, "1999-06-30")["statements"]
-    return out.drop("loaded_at", "plan_code")
+    out = t.scratch("statements")
+    for _ in range(2):
+        publish.billing_files(t.spark, f"{path}/*.csv", out, "1999-06-30")
+    return back(t, out).drop("loaded_at", "plan_code")
 
 
 @query("load_station_telemetry", SQL["poor_signal"])
@@ -227,8 +240,10 @@ def load_station_telemetry(t: Tables) -> DataFrame:
     path = t.scratch("telemetry")
     line = F.to_json(F.struct(F.col("user_id").alias("station_id"), (-F.col("value")).alias("signal_dbm"), F.col("ts").cast("string").alias("telemetry_ts")))
     t.events.select(F.explode(F.array(line, F.lit(""), F.lit("{"))).alias("value")).write.text(path)
-    out = integrations.station_telemetry(t.spark, path, None, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1))["telemetry"]
-    return agg.poor_signal(out.withColumn("station_id", F.col("station_id").cast("long")))
+    out = t.scratch("telemetry")
+    publish.telemetry(t.spark, path, out, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1))
+    publish.telemetry(t.spark, path, out, dt.datetime(2024, 1, 10, 5), dt.datetime(2024, 1, 10, 6))
+    return agg.poor_signal(back(t, out, "hour").withColumn("station_id", F.col("station_id").cast("long")))
 
 
 @query("load_order_events", SQL["order_events"])
@@ -259,22 +274,32 @@ def load_legacy_billing(t: Tables) -> DataFrame:
     stale = source.filter(F.col("billing_date") <= dt.date(1999, 6, 30)).withColumn(
         "charge_amount", F.when(F.col("billing_date") < dt.date(1999, 6, 30), F.col("charge_amount"))
     )
-    return integrations.legacy_billing(source, stale, "1999-06-30")["records"].select("transaction_id", "customer_id", "billing_date", "charge_amount")
+    path = t.scratch("legacy")
+    tables.overwrite_partitions(stale, path, ["billing_date"])
+    for _ in range(2):
+        publish.legacy_billing(source, path, "1999-06-30")
+    table = tables.read_partitioned(t.spark, path, T.StructField("billing_date", T.DateType()))
+    return table.select("transaction_id", "customer_id", "billing_date", "charge_amount")
 
 
 @query("load_noc_incidents", landing.FLAT_INCIDENT)
 def load_noc_incidents(t: Tables) -> DataFrame:
     docs, mark = landing.noc_docs(t), dt.datetime(2024, 1, 20)
-    target = integrations.noc_incidents(docs.filter(F.col("updated_at") < dt.datetime(2024, 1, 22)), None, None)["incidents"]
-    return integrations.noc_incidents(docs, target, mark)["incidents"]
+    path = t.scratch("noc")
+    publish.noc_incidents(docs.filter(F.col("updated_at") < dt.datetime(2024, 1, 22)), path, None)
+    for _ in range(2):
+        publish.noc_incidents(docs, path, mark)
+    return back(t, path)
 
 
 @query("load_clickstream", landing.CLICKS)
 def load_clickstream(t: Tables) -> DataFrame:
     """Whole month first, then one day again: the day is replaced, not doubled."""
     raw = landing.clicks_raw(t)
-    month = integrations.clickstream(raw, None, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1))["clicks"]
-    return integrations.clickstream(raw, month, dt.datetime(2024, 1, 10), dt.datetime(2024, 1, 11))["clicks"]
+    path = t.scratch("clicks")
+    publish.clickstream(raw, path, dt.datetime(2024, 1, 1), dt.datetime(2024, 2, 1))
+    publish.clickstream(raw, path, dt.datetime(2024, 1, 10, 3, 20), dt.datetime(2024, 1, 10, 5))
+    return back(t, path, "hour")
 
 
 # --- the five specified feeds -----------------------------------------------------------------------------
