@@ -23,6 +23,21 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+BROADCAST_IDS = 2_000_000  # 16 MB of ids
+
+
+def among(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
+    """``df`` without rows whose key is not among the (stored) ``ids``, where that can be told without a shuffle.
+
+    The ids are counted; up to BROADCAST_IDS they are broadcast, so that the other
+    rows' texts are not shuffled only to be dropped by the join that follows. Beyond
+    that ``df`` stays as it is and the join alone decides.
+    """
+    if ids.count() > BROADCAST_IDS:
+        return df
+    return df.join(F.broadcast(ids.select(key)), key, "left_semi")
+
+
 def shuffle_count(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

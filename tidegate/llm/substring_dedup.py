@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidegate.llm.shared import Words, only, pieces, stored, windows
+from tidegate.llm.shared import Words, among, only, pieces, stored, windows
 
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
@@ -186,12 +186,13 @@ def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
         anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .filter("low < high").select("anchor")
     )
-    survivors = (
+    survivors = stored(
         anchors.join(several, "anchor").groupBy("doc_id").agg(F.collect_list("at").alias("at"))
-        .join(firsts.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi")
+        .join(firsts.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi"),
+        "substring-survivors",
     )
     suspects = stored(
-        base.join(survivors, "doc_id").mapInArrow(
+        among(base, survivors, "doc_id").join(survivors.hint("merge"), "doc_id").mapInArrow(
             _second_level(length),
             "doc_id long, tag long, sha string, text string, window_a array<long>, window_b array<int>,"
             " start array<int>, which array<int>",
