@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.numbers import MONEY, number_or_zero, percent, ratio, round_dec, share_of
@@ -215,11 +215,41 @@ REPORT_COLUMNS = (
 )
 
 
-def regulatory_metrics(activations: DataFrame, faults: DataFrame, msf: DataFrame, congestion: DataFrame, run_date) -> DataFrame:
-    """Join the four metric sets. Per-POI congestion multiplies rows, per-state does not."""
+def incident_rollup(incidents: DataFrame, run_date) -> DataFrame:
+    """Fault and mass-failure counts of the week per state, technology and RSP, in one pass over the incidents."""
+    days = boundary_diff("day", "opened_at", "resolved_at")
+    fault = F.coalesce(trailing_week("resolved_at", run_date), F.lit(False))
+    mass = F.coalesce(F.col("msf_ever") & trailing_week("opened_at", run_date), F.lit(False))
     return (
-        activations.join(faults, ["state_territory", "technology_type", "rsp_id"], "left")
-        .join(msf, "state_territory", "left")
+        incidents.filter(fault | mass)
+        .groupBy("state_territory", "technology_type", "rsp_id")
+        .agg(
+            count_when(fault).alias("total_faults"),
+            *[count_when(fault & (days <= n)).alias(f"resolved_{n}bd") for n in (2, 5, 20)],
+            count_when(mass).alias("_events"),
+            F.sum(F.when(mass, F.col("premises_count"))).alias("_premises"),
+        )
+    )
+
+
+def regulatory_metrics(activations: DataFrame, incidents: DataFrame, congestion: DataFrame, run_date) -> DataFrame:
+    """The report: activations with their faults, and the state's mass failures and congestion.
+
+    ``activations`` and ``congestion`` are rolled up already. Mass failures of a state
+    also count where a group has faults or failures but no activation, so the two
+    rollups meet in a full join before the state's sum is taken over them.
+    """
+    by = ["state_territory", "technology_type", "rsp_id"]
+    both = activations.withColumn("_reported", F.lit(True)).join(incident_rollup(incidents, run_date), by, "full_outer")
+    state = Window.partitionBy("state_territory")
+    any_mass = F.col("state_territory").isNotNull() & (F.sum("_events").over(state) > 0)
+    any_fault = F.col("total_faults") > 0
+    return (
+        both.withColumn("msf_event_count", F.when(any_mass, F.sum("_events").over(state)))
+        .withColumn("total_affected_premises", F.when(any_mass, F.sum("_premises").over(state)))
+        .filter("_reported")
+        .withColumns({c: F.when(any_fault, F.col(c)) for c in ("resolved_2bd", "resolved_5bd", "resolved_20bd")})
+        .withColumn("total_faults", F.when(any_fault, F.col("total_faults")))
         .join(congestion, "state_territory", "left")
         .withColumn("report_date", as_date(run_date))
         .select(*REPORT_COLUMNS)
@@ -419,21 +449,19 @@ def asset_health(assets: DataFrame, performance: DataFrame, orders: DataFrame, r
 # --- operations --------------------------------------------------------------
 
 
-def poor_signal(telemetry: DataFrame, threshold: float = -100) -> DataFrame:
-    """Per hour: stations under the threshold, the worst reading, their ids.
-
-    Readings collapse to one row per station and hour before ids are listed,
-    so a list is as long as the stations affected in that hour.
-    """
-    stations = (
+def poor_signal_stations(telemetry: DataFrame, threshold: float = -100) -> DataFrame:
+    """Per hour and station under the threshold: the worst reading."""
+    return (
         telemetry.filter(F.col("signal_dbm") < threshold)
         .groupBy(floor_hour("telemetry_ts").alias("telemetry_hour"), "station_id")
-        .agg(F.min("signal_dbm").alias("worst"))
+        .agg(F.min("signal_dbm").alias("worst_signal_dbm"))
     )
-    return stations.groupBy("telemetry_hour").agg(
-        F.count("*").alias("poor_signal_count"),
-        F.min("worst").alias("worst_signal_dbm"),
-        F.array_sort(F.collect_list("station_id")).alias("station_ids"),
+
+
+def poor_signal(telemetry: DataFrame, threshold: float = -100) -> DataFrame:
+    """Per hour: number of stations under the threshold and the worst reading. The stations are rows of their own table."""
+    return poor_signal_stations(telemetry, threshold).groupBy("telemetry_hour").agg(
+        F.count("*").alias("poor_signal_count"), F.min("worst_signal_dbm").alias("worst_signal_dbm")
     )
 
 
@@ -448,7 +476,8 @@ def status_distribution(df: DataFrame, status: str = "status") -> DataFrame:
 
 def stale_pipelines(watermarks: DataFrame, now, hours: int = 25) -> DataFrame:
     age = boundary_diff("hour", F.col("watermark_ts"), as_timestamp(now))
-    return watermarks.withColumn("hours_since_run", age).filter(F.col("hours_since_run") > hours)
+    stale = watermarks.withColumn("hours_since_run", age).filter(F.col("hours_since_run") > hours)
+    return stale.orderBy(F.desc("hours_since_run"), "watermark_ts")  # the worst first
 
 
 # --- marts -------------------------------------------------------------------

@@ -7,13 +7,12 @@ from pyspark.sql import DataFrame
 from tidegate.operators.aggregates import (
     activation_metrics,
     congestion_metrics,
-    fault_metrics,
-    msf_metrics,
     regulatory_metrics,
 )
 from tidegate.operators.keys import anonymise
 from tidegate.session import cut_lineage
 
+# The columns of the published submission.
 SUBMISSION_COLUMNS = (
     "report_date", "state_territory", "technology_type", "rsp_anon_id", "total_activations",
     "sla_compliance_pct", "total_faults", "resolved_2bd", "resolved_5bd", "msf_event_count",
@@ -22,13 +21,12 @@ SUBMISSION_COLUMNS = (
 
 
 def regulatory_report(
-    activations: DataFrame, incidents: DataFrame, utilisation: DataFrame, poi: DataFrame, run_date, cvc_grain: str = "state"
+    activations: DataFrame, incidents: DataFrame, utilisation: DataFrame, poi: DataFrame, run_date
 ) -> dict[str, DataFrame]:
     metrics = regulatory_metrics(
         activation_metrics(activations, run_date),
-        fault_metrics(incidents, run_date),
-        msf_metrics(incidents, run_date),
-        congestion_metrics(utilisation, poi, run_date, cvc_grain),
+        incidents,
+        congestion_metrics(utilisation, poi, run_date),
         run_date,
     )
     # The submission reads the finished report, so the four rollups run once.

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
@@ -18,6 +18,11 @@ def unload(df: DataFrame, prefix: str, fmt: str = "parquet", overwrite: bool = T
     return prefix
 
 
+def ordered_extract(df: DataFrame, prefix: str, order_by: Sequence[str], fmt: str = "parquet") -> str:
+    """Unload in order: sorted by range over the cluster, so the files in name order are the whole in order."""
+    return unload(df.orderBy(*order_by), prefix, fmt)
+
+
 def unload_csv_gz(df: DataFrame, prefix: str, header: bool = True, single: bool = False) -> str:
     """Gzipped CSV. ``single`` is the caller's explicit wish for one file."""
     out = df.coalesce(1) if single else df

@@ -5,7 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidegate.functions.text import clean_strings, mask, normalise_columns, snake_case_columns
@@ -309,6 +309,20 @@ def ml_export(t: Tables) -> DataFrame:
     return t.spark.read.parquet(exports.unload(day, t.scratch("ml")))
 
 
+@query(
+    "ordered_extract",
+    "SELECT l_orderkey, l_linenumber, l_shipdate, row_number() OVER (ORDER BY l_shipdate, l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity, l_extendedprice) AS place FROM lineitem",
+)
+def ordered_extract(t: Tables) -> DataFrame:
+    """The place of every line in the extract: file by file, and inside a file by its order."""
+    by = ["l_shipdate", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice"]
+    path = exports.ordered_extract(t.lineitem.select(*by), t.scratch("extract"), by)
+    rows = t.spark.read.parquet(path).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("at"))
+    before = Window.orderBy("file").rowsBetween(Window.unboundedPreceding, -1)
+    files = rows.groupBy("file").agg(F.count("*").alias("n")).select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
+    return rows.join(files, "file").select("l_orderkey", "l_linenumber", "l_shipdate", (F.col("before") + F.col("at") + 1).alias("place"))
+
+
 @query("csv_gz_unload", core.BILLING_MONTHLY)
 def csv_gz_unload(t: Tables) -> DataFrame:
     df = billing_monthly(v.billing_lines(t))
