@@ -77,3 +77,11 @@ def test_stream_dedupe(spark, feed):
     out = scratch_dir(spark, "out")
     jobs.drain(jobs.dedupe_stream(stream(spark, path), ["id"], "ts"), lambda b, i: jobs._write_batch(b, out, i))
     assert sorted(r["id"] for r in spark.read.parquet(out).collect()) == [1, 2]
+
+
+def test_closed_hour_of_a_topic(rows):
+    options = jobs.closed_hour_options(dt.datetime(2024, 1, 1, 5), dt.datetime(2024, 1, 1, 6))
+    assert int(options["endingTimestamp"]) - int(options["startingTimestamp"]) == 3_600_000
+    assert options["startingTimestamp"] == "1704085200000"
+    raw = rows("value binary, timestamp timestamp_ntz, key binary", (b'{"k": 1}', None, b""), (b"{broken", None, b""))
+    assert [r.body for r in jobs.messages(raw).collect()] == ['{"k": 1}', "{broken"]

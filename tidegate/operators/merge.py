@@ -79,6 +79,12 @@ def apply_retention(df: DataFrame, date_col: str, today, years: int = 3) -> Data
     return df.filter(F.col(date_col) >= F.add_months(as_date(today), -12 * years))
 
 
+def reevaluate_recent(table: DataFrame, ts_col: str, now: dt.datetime, hours: int, rules: Mapping[str, Column]) -> DataFrame:
+    """Evaluate ``rules`` again for rows of the last ``hours``; older rows keep what they have. The table is read once."""
+    recent = F.coalesce(in_window(ts_col, now - dt.timedelta(hours=hours), now), F.lit(False))
+    return table.withColumns({c: F.when(recent, rule).otherwise(F.col(c)) for c, rule in rules.items()})
+
+
 def recompute_tail(
     mart: DataFrame,
     facts: DataFrame,

@@ -7,6 +7,7 @@ idempotent per batch, so a batch that is run again changes nothing.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,11 +25,26 @@ def read_events(spark: SparkSession, fmt: str, options: dict[str, str], schema:
     reader = spark.readStream if streaming else spark.read
     reader = reader.format(fmt).options(**{k: o for k, o in options.items() if k != "path"})
     if fmt == "kafka":
-        payload = reader.load().select(F.from_json(F.col("value").cast("string"), as_struct(schema)).alias("v"))
-        return payload.select("v.*")
+        # A payload that does not parse is no event; deadletter_sink over messages() keeps it.
+        good = parse_records(messages(reader.load()), BODY, schema).filter(~F.col("_bad"))
+        return good.select(*as_struct(schema).fieldNames())
     return reader.schema(as_struct(schema)).load(options["path"])
 
 
+BODY = "body"
+
+
+def messages(raw: DataFrame) -> DataFrame:
+    """Payload and time of the rows of a message topic."""
+    return raw.select(F.col("value").cast("string").alias(BODY), F.col("timestamp").alias("arrival_ts"))
+
+
+def closed_hour_options(start: dt.datetime, end: dt.datetime) -> dict[str, str]:
+    """Options with which a batch read of a topic takes exactly the messages of ``[start, end)``, given in UTC."""
+    at = [str(int(x.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)) for x in (start, end)]
+    return {"startingTimestamp": at[0], "endingTimestamp": at[1], "startingOffsetsByTimestampStrategy": "latest"}
+
+
 def hourly_stream(df: DataFrame, ts: str, keys: Sequence[str], aggs: Sequence[Column], delay: str = "10 minutes") -> DataFrame:
     """Tumbling one-hour aggregate; an hour is final once the watermark passes it."""
     return (

@@ -166,6 +166,21 @@ def nps_recompute(t: Tables) -> DataFrame:
     return merge.recompute_tail(old.unionByName(stale), facts, "response_date", "2024-01-30", nps_daily)
 
 
+REEVAL = dt.datetime(2024, 1, 30)
+
+
+@query(
+    "reflag_48h",
+    """SELECT event_id, CASE WHEN ts >= TIMESTAMP '2024-01-28' AND ts < TIMESTAMP '2024-01-30' THEN value > 50 ELSE value > 90 END AS flag,
+CASE WHEN ts >= TIMESTAMP '2024-01-29' AND ts < TIMESTAMP '2024-01-30' THEN 'new' ELSE 'old' END AS score FROM events""",
+)
+def reflag_48h(t: Tables) -> DataFrame:
+    """Flags of the last 48 hours and scores of the last 24 are evaluated again by the present rule."""
+    rows = t.events.select("event_id", "ts", "value", (F.col("value") > 90).alias("flag"), F.lit("old").alias("score"))
+    flags = merge.reevaluate_recent(rows, "ts", REEVAL, 48, {"flag": F.col("value") > 50})
+    return merge.reevaluate_recent(flags, "ts", REEVAL, 24, {"score": F.lit("new")}).select("event_id", "flag", "score")
+
+
 # --- gates ---------------------------------------------------------------------------------
 
 
@@ -366,6 +381,19 @@ def stream_dedupe(t: Tables) -> DataFrame:
     return t.spark.read.parquet(out).groupBy("event_type").agg(F.count("*").alias("events"))
 
 
+@query("stream_late_rows", "SELECT event_id, CASE WHEN ts < TIMESTAMP '2024-01-15' THEN 'late' ELSE 'on_time' END AS route FROM events")
+def stream_late_rows(t: Tables) -> DataFrame:
+    """Rows of hours that are closed go to a side table."""
+    late, good = t.scratch("late"), t.scratch("on-time")
+
+    def on_time(batch: DataFrame, batch_id: int) -> None:
+        jobs._write_batch(batch, good, batch_id)
+
+    jobs.drain(event_stream(t, "events").select("event_id", "ts"), jobs.late_sink("ts", dt.datetime(2024, 1, 15), on_time, late))
+    both = [t.spark.read.parquet(p).select("event_id", F.lit(r).alias("route")) for p, r in ((good, "on_time"), (late, "late"))]
+    return both[0].unionByName(both[1])
+
+
 @query(
     "stream_dead_letters",
     f"SELECT event_id, CASE WHEN {landing.BROKEN} THEN 'dead' ELSE 'good' END AS route FROM events",
