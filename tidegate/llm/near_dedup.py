@@ -37,7 +37,7 @@ from pyspark.sql import functions as F
 
 from tidegate.llm.components import components
 from tidegate.llm.shared import (
-    Words, bounds, by_cell, chunked, joined, mix, only, pieces, stored, whole_groups, windows,
+    Words, among, bounds, by_cell, chunked, joined, mix, only, pieces, stored, whole_groups, windows,
 )
 
 RETAINED = 64
@@ -267,9 +267,10 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     candidates = by_cell(cells.join(heads.select("node", "n_shingles", "sketch"), "node")).mapInArrow(
         _list_cells(percent / 100), "a long, b long"
     )
-    groups = components(candidates, "near-groups").withColumnRenamed("component", "cluster")
+    groups = stored(components(candidates, "near-groups").withColumnRenamed("component", "cluster"), "near-members")
+    members = groups.withColumnRenamed("node", "doc_id")
     sets = stored(
-        base.join(groups.withColumnRenamed("node", "doc_id"), "doc_id")
+        among(base, members, "doc_id").join(members.hint("merge"), "doc_id")
         .select("doc_id", "cluster", "text")
         .mapInArrow(_full_sets(shingle), "node long, cluster long, shingles binary"),
         "near-sets",
