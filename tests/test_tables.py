@@ -233,7 +233,7 @@ def test_scratch_needs_a_shared_folder(spark):
 
 def test_upsert_takes_one_row_of_a_repeated_key(rows):
     target, source = rows("k int, v int", (1, 1)), rows("k int, v int", (1, 2), (1, 3), (None, 4), (None, 4))
-    assert content(merge.upsert(target, source, ["k"])) == [(None, 4), (None, 4), (1, 3)]
+    assert content(merge.upsert(target, source, ["k"])) == [(1, 3), (None, 4), (None, 4)]
 
 
 def test_shuffles_follow_the_input(spark):
