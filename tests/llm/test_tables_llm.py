@@ -7,8 +7,11 @@ import zlib
 from io import BytesIO
 
 import brute
+import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
+from tokenizers import Tokenizer
 
 from tidegate.llm import mixing, packing, url_filter, warc_packages
 from tidegate.llm.queries import URL_RULES, tokenizer_path
@@ -57,18 +60,29 @@ def odd_texts(seed, n):
     return ["".join(rng.choice(parts) for _ in range(rng.randint(0, 60))) for _ in range(n)]
 
 
+def library_ids(texts):
+    """Ids of whole texts by the library of the tokenizer file."""
+    tokenizer = Tokenizer.from_file(tokenizer_path())
+    tokenizer.encode_special_tokens = True
+    return [np.array(e.ids, "<u4").tobytes() for e in tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_ids_of_parts_are_those_of_the_whole(monkeypatch):
     tokens = packing.Tokens(tokenizer_path())
     texts = odd_texts(1, 1500)
-    assert tokens.ids(texts) == tokens._encode(texts)
+    assert tokens.ids(texts) == library_ids(texts)
     monkeypatch.setattr(packing, "REMEMBERED", 20)
-    assert tokens.ids(texts[:300]) == tokens._encode(texts[:300])
+    assert tokens.ids(texts[:300]) == library_ids(texts[:300])
+
+
+def test_ids_of_test_documents():
+    texts = pq.read_table("/root/testdata/sf0.01/documents.parquet")["text"].to_pylist()
+    assert packing.Tokens(tokenizer_path()).ids(texts) == library_ids(texts)
 
 
 def check_packing(rows, texts, capacity):
     """Rows cover every document once and in order, and every sequence without gap or overlap."""
-    tokens = packing.Tokens(tokenizer_path())
-    ids = {i: x + b"\x02\0\0\0" for i, x in zip(texts, tokens._encode([t or "" for t in texts.values()]), strict=True)}
+    ids = {i: x + b"\x02\0\0\0" for i, x in zip(texts, library_ids([t or "" for t in texts.values()]), strict=True)}
     by_doc, by_sequence = {}, {}
     for r in rows:
         by_doc.setdefault(r.doc_id, []).append(r)

@@ -27,9 +27,9 @@ are not looked at.
 
 from __future__ import annotations
 
-import os
 import re
 import zlib
+from array import array
 from bisect import bisect_left, insort
 from collections.abc import Iterable, Iterator
 
@@ -50,21 +50,39 @@ LONGEST_PART = 200
 _SAFE_CUT = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
+# Fixed value: how the byte-level pre-tokeniser cuts a text.
+PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def byte_of_letter() -> dict[str, int]:
+    """Byte-level vocabularies write a byte as a letter: printable ones as themselves, the others from 256 on."""
+    plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
+    other = [b for b in range(256) if b not in plain]
+    return {chr(b): b for b in plain} | {chr(256 + k): b for k, b in enumerate(other)}
+
+
 class Tokens:
-    """Ids of texts as little-endian 32-bit bytes."""
+    """Ids of texts as little-endian 32-bit bytes.
+
+    The vocabulary is that of the tokenizer file. Its ids are in the order of its
+    merges, so it is applied as a table of ranks, several times faster than by the
+    library that reads the file and with the same ids. Special tokens are ordinary text.
+    """
 
     def __init__(self, path: str):
-        os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        import tiktoken
         from tokenizers import Tokenizer
 
-        self._tokenizer = Tokenizer.from_file(path)
-        self._tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
+        letter = byte_of_letter()
+        tokenizer = Tokenizer.from_file(path)
+        special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
+        ranks = {bytes(letter[c] for c in t): i for t, i in tokenizer.get_vocab().items() if t not in special}
+        self._ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
         self._after_blank: dict[str, bytes | None] = {}
         self._exact: dict[str, bytes] = {}
 
     def _encode(self, texts: list[str]) -> list[bytes]:
-        done = self._tokenizer.encode_batch_fast(texts, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() for e in done]
+        return [array("I", self._ranks.encode_ordinary(t)).tobytes() for t in texts]
 
     def _learn(self, parts: set[str]) -> None:
         new = [p for p in parts if p not in self._after_blank]
