@@ -83,6 +83,12 @@ def _first_level(length: int):
                 edge = np.zeros(spread - 1, np.uint64)
                 best = _slide(np.concatenate([edge, floor, edge]), spread, np.maximum)
                 starts, doc = _doc_of(words, np.flatnonzero((best == h) & (best > 0)), half)
+                # One place of each anchor in a document will do.
+                order = np.lexsort((starts, h[starts], doc))
+                new = np.ones(len(order), bool)
+                new[1:] = (h[starts][order][1:] != h[starts][order][:-1]) | (doc[order][1:] != doc[order][:-1])
+                keep = np.sort(order[new])
+                starts, doc = starts[keep], doc[keep]
             local = starts - words.first[doc] if len(doc) else starts
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["doc_id"].cast(pa.int64()),
