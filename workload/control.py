@@ -349,12 +349,13 @@ def event_stream(t: Tables, label: str, per_trigger: int = 2) -> DataFrame:
     f"SELECT event_type, date_trunc('hour', ts) AS hour_label, count(*) AS events, {D('sum(' + MONEY('value') + ')')} AS total FROM events GROUP BY 1, 2",
 )
 def hourly_stream(t: Tables) -> DataFrame:
-    """Hour totals arrive in update mode and are merged into a table by hour and type."""
+    """Hour totals arrive in update mode and are merged into a table by day, so a batch rewrites the days it touches."""
     totals = [F.count("*").alias("events"), F.sum(v.money("value")).alias("total")]
     hourly = jobs.hourly_stream(event_stream(t, "events"), "ts", ["event_type"], totals, NEVER_LATE)
     out = t.scratch("hourly")
-    jobs.drain(hourly, jobs.upsert_sink(out, ["event_type", "hour_label"], "event_type", ["events"]), mode="update")
-    return t.spark.read.parquet(out)
+    daily = hourly.withColumn("day", F.to_date("hour_label"))
+    jobs.drain(daily, jobs.upsert_sink(out, ["event_type", "hour_label", "day"], "day", ["events"]), mode="update")
+    return t.spark.read.parquet(out).drop("day")
 
 
 @query("stream_upsert", f"SELECT user_id, event_id, event_type, {D('value')} AS value FROM events QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) = 1")
