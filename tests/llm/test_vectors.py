@@ -39,6 +39,29 @@ def test_near_vectors(spark, monkeypatch, chunk):
     assert all(r.kept == (r.vec_id == r.component_id) for r in got)
 
 
+@pytest.mark.parametrize("within", [0.8, 0.97])
+def test_links_inside_a_large_group(spark, within):
+    """A third of over 5,000 distinct vectors lies around one direction; some are near copies, at 0.97 all."""
+    rng = np.random.default_rng(5)
+
+    def unit(v):
+        return v / np.sqrt((v * v).sum(-1, keepdims=True))
+
+    far, centre = unit(rng.normal(size=(4000, 64))), unit(rng.normal(size=64))
+    members = unit(np.sqrt(within) * centre + np.sqrt(1 - within) * unit(rng.normal(size=(1000, 64))))
+    copies = unit(members + np.sqrt(0.06) * unit(rng.normal(size=members.shape)))
+    x = np.concatenate([far, members, copies]).astype(np.float32)[rng.permutation(6000)]
+    df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], KIND)
+    got = {r.vec_id: r for r in embedding_dedup.near_vectors(df, 0.95).collect()}
+    y = unit(x.astype(float))
+    linked = y @ y.T >= 0.95
+    np.fill_diagonal(linked, False)
+    assert linked.sum() > 1500
+    assert sum(r.n_links for r in got.values()) >= 0.99 * linked.sum()
+    named = brute.least_reachable(range(len(x)), np.argwhere(np.triu(linked)).tolist())
+    assert sum(got[i].component_id == c for i, c in named.items()) >= 0.995 * len(x)
+
+
 def test_near_vectors_odd_rows(spark):
     v = [1.0, 2.0]
     df = spark.createDataFrame([(1, v, 0), (1, v, 0), (2, v, 0), (None, v, 0)], KIND)
