@@ -190,3 +190,20 @@ def test_quality(spark):
     alone = {r.doc_id: r.score for r in quality.score(docs, marks.limit(0), F.lit(True)).collect()}
     assert alone[5] == 0.5 and alone[901] == 0
     assert quality.score(docs.limit(0), marks, F.lit(True)).count() == 0
+
+
+def test_links_that_few_least_values_show(spark):
+    """Pairs at 0.8 whose six least shingles have less than two in common are linked all the same."""
+    rng = random.Random(12)
+    long = [" ".join(f"w{rng.randrange(10**9)}" for _ in range(104)) for _ in range(12_000)]
+    short = [" ".join(t.split()[:84]) for t in long]
+    least = []
+    for texts in (long, short):
+        value, first = near_dedup.shingle_sets(pa.array(texts), 5)
+        least.append([set(value[a : a + 6].tolist()) for a in first[:-1]])
+    hard = [k for k, (a, b) in enumerate(zip(*least, strict=True)) if len(a & b) < 2]
+    assert len(hard) >= 5
+    texts = {2 * i + j: t[k] for i, k in enumerate(hard) for j, t in enumerate((long, short))}
+    df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df, 5).collect()}
+    assert got == {i: i // 2 * 2 for i in texts}

@@ -15,8 +15,9 @@
    confirmed on the full sets; again only a forest leaves each cell.
 5. Components of the confirmed links give the result.
 
-At similarity 0.8 a pair shares two of the six probed values with probability
-0.998 and passes the estimate with 0.9999; both rise quickly with similarity.
+At similarity 0.8 a pair shares fewer than two of the twelve probed values with
+probability 2e-7 at most (when one set contains the other), and fails the estimate
+with 2e-8; both fall quickly with similarity.
 
 Defined cases: a null, empty or word-less text has an empty set and is linked with
 nothing; a text with fewer words than a shingle has its whole sequence as its only
@@ -41,8 +42,8 @@ from tidegate.llm.shared import (
 )
 
 RETAINED = 64
-PROBED = 6
-ESTIMATE_SLACK = 0.2
+PROBED = 12
+ESTIMATE_SLACK = 0.3
 LIST_CHUNK = 512
 GROUP_CHUNK = 256
 _PAIRS = np.array(list(combinations(range(PROBED), 2)))
