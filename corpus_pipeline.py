@@ -36,10 +36,11 @@ def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str)
     docs = only(docs, *COLUMNS)
     cut = (
         substring_dedup.remove_repeated(docs).filter("n_removed > 0 AND doc_id IS NOT NULL")
-        .groupBy("doc_id").agg(F.min("kept").alias("kept"))
+        .groupBy("doc_id", "sha").agg(F.min("kept").alias("kept"))
     )
     text = F.coalesce("kept", "text")
-    return docs.join(cut, "doc_id", "left").select(
+    # Rows of one id can differ in their words, so the words' hash is part of the key.
+    return docs.withColumn("sha", substring_dedup.sha_of_words(F.col("text"))).join(cut, ["doc_id", "sha"], "left").select(
         "doc_id",
         text.alias("text"),
         "lang",

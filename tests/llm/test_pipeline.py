@@ -70,6 +70,16 @@ def test_stages(spark):
     assert used <= least * 1.05 + 2
 
 
+def test_rows_of_one_id_keep_their_own_text(spark):
+    passage, other = [" ".join(f"{c}{i}" for i in range(60)) for c in "ab"]
+    rows = [(1, passage), (2, f"head\t {passage}  tail"), (2, other), (2, f"x \n{passage}"), (3, "\x0b few\r\nwords ")]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = corpus_pipeline.remove_repeated_passages(spark, docs, FOLDER).collect()
+    want = [(1, passage), (2, "head tail"), (2, other), (2, "x"), (3, "\x0b few\r\nwords ")]
+    assert sorted((r.doc_id, r.text) for r in got) == sorted(want)
+    assert all(r.n_chars == len(r.text) for r in got)
+
+
 def test_run_is_the_stages(spark):
     rows = corpus_pipeline.run(spark, FOLDER)
     assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

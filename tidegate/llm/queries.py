@@ -87,7 +87,7 @@ SELECT d.doc_id, d.n AS n_words, coalesce(k.n_removed, 0) AS n_removed, sha256(c
 FROM words d LEFT JOIN kept k USING (doc_id)
 """)
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
-    return substring_dedup.remove_repeated(table(spark, folder, "documents")).drop("kept")
+    return substring_dedup.remove_repeated(table(spark, folder, "documents")).drop("kept", "sha")
 
 
 @query("op5_url_filter", """

@@ -28,7 +28,7 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.llm.shared import Words, among, only, pieces, stored, windows
@@ -36,6 +36,11 @@ from tidegate.llm.shared import Words, among, only, pieces, stored, windows
 EMPTY_SHA = hashlib.sha256(b"").hexdigest()
 
 
+def sha_of_words(text: Column) -> Column:
+    """The hash of a text's words that ``remove_repeated`` gives as ``sha``."""
+    return F.sha2(F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " ")), 256)
+
+
 def _slide(x: np.ndarray, width: int, pick) -> np.ndarray:
     """``pick`` (minimum or maximum) over every run of ``width`` values."""
     have = 1
@@ -172,7 +177,7 @@ def _remove(length: int):
 
 
 def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
-    """``docs`` (doc_id, text): doc_id, n_words, n_removed, kept_sha256, and kept (null where nothing was removed)."""
+    """``docs`` (doc_id, text): doc_id, sha (of the words), n_words, n_removed, kept_sha256, and kept (null where nothing was removed)."""
     base = only(docs, "doc_id", "text")
     whole = stored(
         base.mapInArrow(
@@ -234,6 +239,7 @@ def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
         .join(cut, ["doc_id", "sha"], "left")
         .select(
             "doc_id",
+            "sha",
             "n_words",
             F.when(F.col("copy"), F.col("n_words")).otherwise(F.coalesce("n_removed", F.lit(0))).alias("n_removed"),
             F.when(F.col("copy"), F.lit(EMPTY_SHA)).otherwise(F.coalesce("kept_sha256", "sha")).alias("kept_sha256"),
