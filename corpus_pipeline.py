@@ -75,7 +75,7 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def pack_sequences(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of at most 1024 tokens with their sequences and places."""
-    return packing.pack(only(docs, *COLUMNS), tokenizer_path())
+    return packing.pack(only(docs, *COLUMNS), tokenizer_path(), added=True)
 
 
 STAGES = [

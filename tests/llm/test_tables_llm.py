@@ -80,6 +80,17 @@ def test_ids_of_test_documents():
     assert packing.Tokens(tokenizer_path()).ids(texts) == library_ids(texts)
 
 
+def test_added_tokens_as_by_the_plain_call(spark):
+    texts = ["a <|endoftext|> b", "<|endoftext|>", "a<|endoftext|>b  <|endoftext|>\n", "<|endoftext|", "plain text\n", *odd_texts(7, 300)]
+    plain = Tokenizer.from_file(tokenizer_path())
+    want = [np.array(plain.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in texts]
+    assert packing.Tokens(tokenizer_path(), added=True).ids(texts) == want
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    end = np.array([packing.END_ID], "<u4").tobytes()
+    got = {r.doc_id: r.ids_crc32 for r in packing.pack(docs, tokenizer_path(), added=True).collect()}
+    assert got == {i: zlib.crc32(x + end) for i, x in enumerate(want)}
+
+
 def check_packing(rows, texts, capacity):
     """Rows cover every document once and in order, and every sequence without gap or overlap."""
     ids = {i: x + b"\x02\0\0\0" for i, x in zip(texts, library_ids([t or "" for t in texts.values()]), strict=True)}

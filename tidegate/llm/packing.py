@@ -66,10 +66,11 @@ class Tokens:
 
     The vocabulary is that of the tokenizer file. Its ids are in the order of its
     merges, so it is applied as a table of ranks, several times faster than by the
-    library that reads the file and with the same ids. Special tokens are ordinary text.
+    library that reads the file and with the same ids. Special tokens are ordinary text, unless ``added`` asks for the
+    library's plain call: then a text with any of the file's added tokens goes to the library.
     """
 
-    def __init__(self, path: str):
+    def __init__(self, path: str, added: bool = False):
         import tiktoken
         from tokenizers import Tokenizer
 
@@ -78,6 +79,8 @@ class Tokens:
         special = {t.content for t in tokenizer.get_added_tokens_decoder().values()}
         ranks = {bytes(letter[c] for c in t): i for t, i in tokenizer.get_vocab().items() if t not in special}
         self._ranks = tiktoken.Encoding("ranks", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
+        self._library = tokenizer
+        self._added = [t for t in special if t] if added else []
         self._after_blank: dict[str, bytes | None] = {}
         self._exact: dict[str, bytes] = {}
 
@@ -112,6 +115,9 @@ class Tokens:
     def ids(self, texts: list[str]) -> list[bytes]:
         out = []
         for text in texts:
+            if any(t in text for t in self._added):
+                out.append(array("I", self._library.encode(text, add_special_tokens=False).ids).tobytes())
+                continue
             head, *parts = text.replace("\n", " \n").split(" ")
             if head.split() != [head]:
                 out.append(self._whole(text))
@@ -128,18 +134,18 @@ class Tokens:
         return out
 
 
-_TOKENS: dict[str, Tokens] = {}
+_TOKENS: dict[tuple[str, bool], Tokens] = {}
 
 
-def _pieces(path: str, capacity: int, end: int):
+def _pieces(path: str, capacity: int, end: int, added: bool):
     last = np.array([end], "<u4").tobytes()
 
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if path not in _TOKENS:
-            _TOKENS[path] = Tokens(path)
+        if (path, added) not in _TOKENS:
+            _TOKENS[path, added] = Tokens(path, added)
         for batch in pieces(batches):
             out: dict[str, list] = {"doc_id": [], "piece": [], "start": [], "length": [], "ids_crc32": []}
-            ids = _TOKENS[path].ids(batch["text"].fill_null("").to_pylist())
+            ids = _TOKENS[path, added].ids(batch["text"].fill_null("").to_pylist())
             for doc, x in zip(batch["doc_id"].to_pylist(), ids, strict=True):
                 x += last
                 n = len(x) // 4
@@ -159,10 +165,12 @@ def _pieces(path: str, capacity: int, end: int):
     return work
 
 
-def token_pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END_ID) -> DataFrame:
+def token_pieces(
+    docs: DataFrame, path: str, capacity: int = CAPACITY, end: int = END_ID, added: bool = False
+) -> DataFrame:
     """doc_id, piece, start, length, ids_crc32."""
     return only(docs, "doc_id", "text").mapInArrow(
-        _pieces(path, capacity, end), "doc_id long, piece int, start long, length long, ids_crc32 long"
+        _pieces(path, capacity, end, added), "doc_id long, piece int, start long, length long, ids_crc32 long"
     )
 
 
@@ -298,10 +306,11 @@ def _assign(rows: np.ndarray):
 
 
 def pack(
-    docs: DataFrame, path: str, capacity: int = CAPACITY, small: int = SMALL, groups: int = GROUPS, end: int = END_ID
+    docs: DataFrame, path: str, capacity: int = CAPACITY, small: int = SMALL, groups: int = GROUPS, end: int = END_ID,
+    added: bool = False,
 ) -> DataFrame:
     """``docs`` (doc_id, text): one row per piece, with its sequence and its place there."""
-    cut = stored(token_pieces(docs, path, capacity, end), "packing-pieces")
+    cut = stored(token_pieces(docs, path, capacity, end, added), "packing-pieces")
     cut = cut.withColumn("bucket", F.pmod(F.xxhash64("doc_id", "piece", "ids_crc32"), F.lit(BUCKETS)).cast("int"))
     tally = cut.groupBy("length", "bucket").agg(F.count("*").alias("n"))
     counts = {k: n for k, n in tally.groupBy("length").agg(F.sum("n")).collect()}  # at most ``capacity`` numbers

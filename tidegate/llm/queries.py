@@ -117,7 +117,7 @@ def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
 
 @query("op6_packing")
 def op6_packing(spark: SparkSession, folder: str) -> DataFrame:
-    return packing.pack(table(spark, folder, "documents"), tokenizer_path())
+    return packing.pack(table(spark, folder, "documents"), tokenizer_path(), added=True)
 
 
 @query("op7_mixing", r"""
