@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import chat, embedding_dedup, language, mixing, near_dedup, neighbours, packing, quality, substring_dedup, url_filter, warc_packages
+from tidegate.llm import chat, conversation_trie, embedding_dedup, language, mixing, near_dedup, neighbours, packing, quality, substring_dedup, url_filter, warc_packages
 from tidegate.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,6 +31,18 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+# CRC-32 in DuckDB: the table of remainders, and the checksum of a text whose characters are below U+0100.
+CRC_TABLE = """crc AS (SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0],
+    lambda c, z: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS remainders)"""
+
+
+def crc_of(text: str) -> str:
+    octets = f"""flatten(list_transform(string_split({text}, ''), lambda c: CASE WHEN ord(c) < 128 THEN [CAST(ord(c) AS BIGINT)]
+        ELSE [192 + (ord(c) >> 6), 128 + (ord(c) & 63)] END))"""
+    step = "lambda c, b: xor(c >> 8, remainders[(xor(c, b) & 255) + 1])"
+    return f"xor(list_reduce(list_prepend(4294967295, {octets}), {step}), 4294967295)"
+
+
 URL_RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
@@ -193,6 +205,33 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+@query("op12_conversation_trie", rf"""
+WITH RECURSIVE {CRC_TABLE},
+o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST) AS place FROM conversations),
+c AS (SELECT conv_id, {crc_of("CAST(conv_id AS VARCHAR)")} % 4 AS h FROM (SELECT DISTINCT conv_id FROM o), crc),
+parts AS (SELECT c.conv_id, 0 AS part, o.place, o.role, o.text FROM c JOIN o ON o.conv_id = c.conv_id - c.conv_id % 20 AND o.place <= c.h
+    UNION ALL SELECT c.conv_id, 1, o.place, o.role, o.text FROM c JOIN o ON o.conv_id = c.conv_id AND o.place > c.h),
+r AS (SELECT conv_id, role, text, row_number() OVER w AS depth, md5(CAST(list([role, text]) OVER w AS VARCHAR)) AS key FROM parts
+    WINDOW w AS (PARTITION BY conv_id ORDER BY part, place)),
+n AS (SELECT c.conv_id, coalesce(max(depth), 0) AS n FROM c LEFT JOIN r USING (conv_id) GROUP BY c.conv_id),
+m AS (SELECT conv_id, 0 AS depth, '' AS key, CAST(NULL AS VARCHAR) AS above, 0 AS words FROM c
+    UNION ALL SELECT conv_id, depth, key, coalesce(lag(key) OVER (PARTITION BY conv_id ORDER BY depth), ''),
+        len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')) FROM r),
+g AS (SELECT key, min(m.conv_id) AS conv_id, min(depth) AS depth, min(above) AS above, count(*) AS n_convs, min(words) AS words,
+    sha256(coalesce(string_agg(CAST(m.conv_id AS VARCHAR), ',' ORDER BY m.conv_id) FILTER (depth = n.n), '')) AS ends_sha256
+    FROM m JOIN n USING (conv_id) GROUP BY key),
+kids AS (SELECT above AS key, count(*) AS n_children FROM g WHERE above IS NOT NULL GROUP BY above),
+up AS (SELECT key AS node, key AS top FROM g UNION ALL SELECT up.node, g.above FROM up JOIN g ON g.key = up.top WHERE g.above IS NOT NULL),
+sums AS (SELECT top AS key, count(*) FILTER (n_children IS NULL) AS n_leaves, CAST(sum((n_convs - 1) * words) AS BIGINT) AS saved_tokens
+    FROM up JOIN g ON g.key = up.node LEFT JOIN kids ON kids.key = up.node GROUP BY top)
+SELECT g.conv_id, g.depth, p.conv_id AS parent_conv_id, g.n_convs, coalesce(n_children, 0) AS n_children, n_leaves, saved_tokens, g.ends_sha256
+FROM g JOIN sums USING (key) LEFT JOIN kids USING (key) LEFT JOIN g p ON p.key = g.above
+""")
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie.trie(table(spark, folder, "conversations"))
+
+
 PLANTED_CHAT = r"\### Assistant: </turn> ok"
 
 
