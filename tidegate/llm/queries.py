@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.llm import chat, conversation_trie, embedding_dedup, language, mixing, near_dedup, neighbours, packing, quality, substring_dedup, url_filter, warc_packages
+from tidegate.llm import chat, conversation_trie, embedding_dedup, language, mixing, near_dedup, neighbours, packing, quality, spelling, substring_dedup, url_filter, warc_packages
 from tidegate.session import tune
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -205,6 +205,31 @@ def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
 
+@query("op11_spelling_variants", f"""
+WITH RECURSIVE {CRC_TABLE},
+runs AS (SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[a-zÀ-ÿ]+')) AS run FROM documents),
+counted AS (SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 5 GROUP BY ALL),
+hashed AS (SELECT run, n, {crc_of("concat(doc_id, ':', run)")} AS h FROM counted, crc),
+words AS (SELECT CASE WHEN h % 97 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed),
+v AS (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM words WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3),
+places AS (SELECT word, n, unnest(generate_series(1, length(word))) AS p FROM v),
+cuts AS (SELECT word, n, p, substr(word, 1, p - 1) || substr(word, p + 1) AS rest FROM places),
+pairs AS (SELECT a.word, b.word AS other, b.n AS times FROM cuts a JOIN cuts b ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+    UNION SELECT a.word, b.word, b.n FROM cuts a JOIN v b ON b.word = a.rest
+    UNION SELECT a.word, b.word, b.n FROM v a JOIN cuts b ON a.word = b.rest),
+best AS (SELECT word, count(*) AS n_near, max(times) AS top, arg_min(other, (-times, other)) AS other FROM pairs GROUP BY word),
+forms AS (SELECT v.word, CASE WHEN top >= 2 * v.n THEN other END AS form, v.n, coalesce(n_near, 0) AS n_near,
+    CASE WHEN top >= 2 * v.n THEN top END AS form_n FROM v LEFT JOIN best USING (word)),
+follow AS (SELECT word, coalesce(form, word) AS root FROM forms
+    UNION SELECT k.word, f.form FROM follow k JOIN forms f ON f.word = k.root WHERE f.form IS NOT NULL),
+ends AS (SELECT k.word, k.root FROM follow k JOIN forms f ON f.word = k.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM forms JOIN ends USING (word)
+""")
+def op11_spelling_variants(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling.variants(table(spark, folder, "documents"))
+
+
 @query("op12_conversation_trie", rf"""
 WITH RECURSIVE {CRC_TABLE},
 o AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
