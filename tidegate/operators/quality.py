@@ -6,7 +6,7 @@ one row ``(check, observed, threshold, passed, severity)``.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -38,7 +38,7 @@ class Gate:
     def __init__(self, df: DataFrame, table: str):
         self.df, self.table = df, table
         self._aggs: list[tuple[Column, callable]] = []
-        self._frames: list[DataFrame] = []
+        self._frames: list[Callable[[DataFrame], DataFrame]] = []
 
     def _scalar(self, name: str, agg: Column, threshold, test, severity="fail", observe=None) -> "Gate":
         alias = f"_c{len(self._aggs)}"
@@ -95,24 +95,30 @@ class Gate:
         """``observed`` is an aggregate that must lie within ``allowed`` of ``expected``."""
         return self._scalar(f"tolerance.{name}", F.abs(observed - expected), allowed, lambda v: v <= allowed, severity)
 
-    def _frame(self, name: str, counted: DataFrame, severity: str) -> "Gate":
+    def _frame(self, name: str, counted: Callable[[DataFrame], DataFrame], severity: str) -> "Gate":
         row = _row(f"{self.table}.{name}", F.col("n"), 0, F.col("n") == 0, severity)
-        self._frames.append(counted.select(row.alias("r")).select("r.*"))
+        self._frames.append(lambda df: counted(df).agg(F.count("*").alias("n")).select(row.alias("r")).select("r.*"))
         return self
 
     def unique(self, keys: Sequence[str], severity="fail") -> "Gate":
         """Counts keys that occur more than once; needs its own shuffle."""
-        dup = self.df.groupBy(*keys).agg(F.count("*").alias("c")).filter("c > 1")
-        return self._frame(f"unique.{'+'.join(keys)}", dup.agg(F.count("*").alias("n")), severity)
+        return self._frame(
+            f"unique.{'+'.join(keys)}", lambda df: df.groupBy(*keys).agg(F.count("*").alias("c")).filter("c > 1"), severity
+        )
 
     def foreign_key(self, key: str, dim: DataFrame, severity="warn") -> "Gate":
-        missing = orphans(self.df.select(key), dim, key)
-        return self._frame(f"foreign_key.{key}", missing.agg(F.count("*").alias("n")), severity)
+        return self._frame(f"foreign_key.{key}", lambda df: orphans(df.select(key), dim, key), severity)
+
+    def scalars(self) -> list[Column]:
+        """The aggregates behind the scalar checks, to be observed while the table is written."""
+        return [a for a, _ in self._aggs]
 
-    def report(self) -> DataFrame:
-        frames = list(self._frames)
+    def report(self, df: DataFrame | None = None, observed: DataFrame | None = None) -> DataFrame:
+        """The verdicts. ``observed`` is one row of :meth:`scalars`, if they are known already; ``df`` a copy to check instead."""
+        df = self.df if df is None else df
+        frames = [frame(df) for frame in self._frames]
         if self._aggs:
-            one = self.df.agg(*[a for a, _ in self._aggs])
+            one = df.agg(*self.scalars()) if observed is None else observed
             rows = F.array(*[make() for _, make in self._aggs])
             frames.insert(0, one.select(F.inline(rows)))
         return reduce(DataFrame.unionByName, frames)

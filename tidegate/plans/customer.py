@@ -28,13 +28,17 @@ def with_sla(activations: DataFrame, run_date=None) -> DataFrame:
     return df if run_date is None else df.withColumn("run_date", as_date(run_date))
 
 
+def activation_gate(batch: DataFrame) -> Gate:
+    return Gate(batch, "activations").rate("sla_met")
+
+
 def rsp_activations(source: DataFrame, target: DataFrame | None, run_date) -> dict[str, DataFrame]:
     batch = with_sla(incremental_activations(source, run_date), run_date)
     merged = batch if target is None else upsert(target, batch, ["order_id"], order_by=["order_created_at"])
     return {
         "activations": merged,
         "batch": batch,
-        "gate": Gate(batch, "activations").rate("sla_met").report(),
+        "gate": activation_gate(batch).report(),
         "kpi": rsp_kpi_daily(merged),
     }
 

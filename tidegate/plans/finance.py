@@ -33,5 +33,9 @@ def revenue_recognition(lines: DataFrame, headers: DataFrame, balances: DataFram
         "journals": journals,
         "gl_interface": to_gl_interface(journals, month),
         "imbalance": trial_balance(journals, month),
-        "gate": Gate(journals, "journals").balance("credit", "debit").report(),
+        "gate": journal_gate(journals).report(),
     }
+
+
+def journal_gate(journals: DataFrame) -> Gate:
+    return Gate(journals, "journals").balance("credit", "debit")

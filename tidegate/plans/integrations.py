@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.functions.times import business_date, in_window
+from tidegate.functions.times import as_date, business_date, in_window
 from tidegate.operators.aggregates import poor_signal
 from tidegate.operators.incremental import next_watermark, read_incremental
 from tidegate.operators.keys import dedupe_latest
@@ -27,16 +27,22 @@ def rsp_billing_files(spark: SparkSession, pattern: str, target: DataFrame | Non
         batch = upsert(
             target, batch, BILLING_KEYS, update_cols=["plan_code", "charge_amount", "currency", "loaded_at"]
         )
-    gate = Gate(scan_date(batch, "billing_date", run_date), "rsp_billing").min_rows(1).report()
-    return {"statements": batch, "gate": gate}
+    return {"statements": batch, "gate": billing_gate(batch, run_date).report()}
+
+
+def billing_gate(batch: DataFrame, run_date) -> Gate:
+    return Gate(batch, "rsp_billing").min_rows(1, where=F.col("billing_date") == as_date(run_date))
 
 
 def station_telemetry(spark: SparkSession, path: str, target: DataFrame | None, start, end) -> dict[str, DataFrame]:
     rows = read_jsonl(spark, path, STATION_TELEMETRY).withColumn("run_date", business_date("telemetry_ts"))
     table = rows if target is None else replace_range(target, rows, "telemetry_ts", start, end)
     hour = table.filter(in_window("telemetry_ts", start, end))
-    gate = Gate(hour, "telemetry").threshold("poor_signal", F.col("signal_dbm") < -100).report()
-    return {"telemetry": table, "poor_signal": poor_signal(hour), "gate": gate}
+    return {"telemetry": table, "poor_signal": poor_signal(hour), "gate": telemetry_gate(table, start, end).report()}
+
+
+def telemetry_gate(table: DataFrame, start, end) -> Gate:
+    return Gate(table, "telemetry").threshold("poor_signal", in_window("telemetry_ts", start, end) & (F.col("signal_dbm") < -100))
 
 
 def order_events(raw: DataFrame, body: str = "body") -> dict[str, DataFrame]:

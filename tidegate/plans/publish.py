@@ -1,8 +1,10 @@
 """The loads as writers: gates first, then only the partitions that a batch touches.
 
-Every function may run again with the same input and leaves the same rows. Tables
-that are merged are partitioned by a month that never changes for a key, which is
-part of the merge key, so no other partition is read.
+Every function may run again with the same input and leaves the same rows. A batch is
+computed once: the job that stages it observes what its gate asks for, and the table is merged or
+replaced from the staged copy. Tables are merged by their business key and partitioned by a month. A
+time that is missing puts a row into the partition without a month; when it arrives or
+is corrected, the row moves.
 """
 
 from __future__ import annotations
@@ -10,9 +12,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidegate.operators.quality import enforce
+from tidegate.operators.quality import Gate, enforce
 from tidegate.plans import customer, finance, infrastructure, integrations, network
+from tidegate.sinks.staging import Arrivals, checked_batch, refresh_checked
 from tidegate.sinks.tables import full_refresh, merge_into, replace_hour, replace_partition
+from tidegate.sources.files import scan_date
+from tidegate.sources.schemas import LEGACY_BILLING_COLUMNS
 
 MONTH = "load_month"
 
@@ -21,58 +26,71 @@ def _by_month(df: DataFrame, time: str) -> DataFrame:
     return df.withColumn(MONTH, F.date_format(time, "yyyy-MM"))
 
 
-def outage_poll(source: DataFrame, poi: DataFrame, path: str, watermark, updated: str = "sys_updated_on"):
-    """Merge one poll; returns the next watermark."""
-    out = network.outage_incidents(source, poi, None, watermark, updated)
-    merge_into(_by_month(out["batch"], "opened_at"), path, ["sys_id", MONTH], MONTH, [updated])
-    return out["watermark"]()
+def outage_poll(source: DataFrame, poi: DataFrame, path: str, watermark, updated: str = "sys_updated_on", least: int = 0):
+    """Merge one poll of at least ``least`` rows; returns the next watermark."""
+    batch = network.outage_incidents(source, poi, None, watermark, updated)["batch"]
+    gate = lambda df: Gate(df, "outages").min_rows(least).not_null("sys_id")
+    with checked_batch(batch, gate, newest=F.max(updated)) as (staged, seen):
+        merge_into(_by_month(staged, "opened_at"), path, ["sys_id"], MONTH, [updated])
+    return seen["newest"] or watermark
 
 
 def activations(source: DataFrame, path: str, run_date) -> None:
-    out = customer.rsp_activations(source, None, run_date)
-    enforce(out["gate"])
-    merge_into(_by_month(out["batch"], "order_created_at"), path, ["order_id", MONTH], MONTH, ["order_created_at"])
+    batch = customer.rsp_activations(source, None, run_date)["batch"]
+    with checked_batch(batch, customer.activation_gate) as (staged, _):
+        merge_into(_by_month(staged, "order_created_at"), path, ["order_id"], MONTH, ["order_created_at"])
 
 
 def node_alerts(samples: DataFrame, path: str) -> None:
-    alerts = infrastructure.node_health(samples)["alerts"]
-    merge_into(_by_month(alerts, "hour_label"), path, ["node_id", "hour_label", MONTH], MONTH, ["hour_label"])
+    """No alerts is good news, no samples is a failure."""
+    arrivals = Arrivals(samples, "node_samples")
+    with checked_batch(infrastructure.node_health(arrivals.df)["alerts"]) as (staged, _):
+        arrivals.enforce()
+        # The month follows from the hour, which is part of the key, so no other partition is searched.
+        keys = ["node_id", "hour_label", MONTH]
+        merge_into(_by_month(staged, "hour_label"), path, keys, MONTH, ["hour_label"], null_safe=["hour_label", MONTH])
 
 
 def billing_files(spark: SparkSession, pattern: str, path: str, run_date) -> None:
-    out = integrations.rsp_billing_files(spark, pattern, None, run_date)
-    enforce(out["gate"])
+    rows = integrations.rsp_billing_files(spark, pattern, None, run_date)["statements"]
     keys = [*integrations.BILLING_KEYS, MONTH]
-    merge_into(_by_month(out["statements"], "billing_date"), path, keys, MONTH, ["loaded_at"])
+    with checked_batch(rows, lambda df: integrations.billing_gate(df, run_date)) as (staged, _):
+        merge_into(_by_month(staged, "billing_date"), path, keys, MONTH, ["loaded_at"], null_safe=["billing_date", MONTH])
 
 
 def telemetry(spark: SparkSession, source: str, path: str, start, end) -> None:
-    out = integrations.station_telemetry(spark, source, None, start, end)
-    enforce(out["gate"])
-    replace_hour(out["telemetry"], path, "telemetry_ts", str(start), str(end))
+    rows = integrations.station_telemetry(spark, source, None, start, end)["telemetry"]
+    with checked_batch(rows, lambda df: integrations.telemetry_gate(df, start, end)) as (staged, _):
+        replace_hour(staged, path, "telemetry_ts", str(start), str(end))
 
 
 def legacy_billing(source: DataFrame, path: str, run_date: str) -> None:
-    """The gate is enforced by the load itself; the date is replaced."""
-    replace_partition(integrations.legacy_billing(source, None, run_date)["records"], path, "billing_date", run_date)
+    """A complete snapshot of one date; nothing for the date is an error."""
+    rows = scan_date(source.select(*LEGACY_BILLING_COLUMNS), "billing_date", run_date)
+    with checked_batch(rows, lambda df: Gate(df, "legacy_billing").min_rows(1)) as (staged, _):
+        replace_partition(staged, path, "billing_date", run_date)
 
 
-def noc_incidents(docs: DataFrame, path: str, watermark):
-    """Merge one pull; returns the next watermark."""
-    out = integrations.noc_incidents(docs, None, watermark)
-    merge_into(_by_month(out["incidents"], "created_at"), path, ["incident_id", MONTH], MONTH, ["updated_at"])
-    return out["watermark"]()
+def noc_incidents(docs: DataFrame, path: str, watermark, least: int = 0):
+    """Merge one pull of at least ``least`` rows; returns the next watermark."""
+    batch = integrations.noc_incidents(docs, None, watermark)["incidents"]
+    gate = lambda df: Gate(df, "noc_incidents").min_rows(least).not_null("incident_id")
+    with checked_batch(batch, gate, newest=F.max("updated_at")) as (staged, seen):
+        merge_into(_by_month(staged, "created_at"), path, ["incident_id"], MONTH, ["updated_at"])
+    return seen["newest"] or watermark
 
 
 def clickstream(raw: DataFrame, path: str, start, end) -> None:
-    replace_hour(integrations.clickstream(raw, None, start, end)["clicks"], path, "arrival_ts", str(start), str(end))
+    clicks = integrations.clickstream(raw, None, start, end)["clicks"]
+    with checked_batch(clicks, lambda df: Gate(df, "clicks").min_rows(1)) as (staged, _):
+        replace_hour(staged, path, "arrival_ts", str(start), str(end))
 
 
 def journals(lines: DataFrame, headers: DataFrame, balances: DataFrame, path: str, month, balancing: bool = True) -> None:
     """One month of journals, which must balance before it is written."""
-    out = finance.revenue_recognition(lines, headers, balances, month, balancing)
-    enforce(out["gate"])
-    full_refresh(out["journals"], path)
+    refresh_checked(
+        finance.revenue_recognition(lines, headers, balances, month, balancing)["journals"], path, finance.journal_gate
+    )
 
 
 def checked(outputs: dict[str, DataFrame], paths: dict[str, str]) -> None:

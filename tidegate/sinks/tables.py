@@ -99,11 +99,18 @@ def full_refresh(df: DataFrame, path: str) -> None:
     The swap is two renames, between which the table is not there; on an object
     store a rename copies. Readers that must never miss it need a table format.
     """
-    spark = df.sparkSession
-    path = path.rstrip("/")
-    token = uuid.uuid4().hex
-    staging, old = f"{path}__new_{token}", f"{path}__old_{token}"
+    staging = beside(path, "new")
     df.write.mode("error").parquet(staging)
+    swap_in(df.sparkSession, staging, path)
+
+
+def beside(path: str, kind: str) -> str:
+    """An unused folder next to a table."""
+    return f"{path.rstrip('/')}__{kind}_{uuid.uuid4().hex}"
+
+
+def swap_in(spark: SparkSession, staging: str, path: str) -> None:
+    path, old = path.rstrip("/"), beside(path, "old")
     if storage.exists(spark, path):
         storage.rename(spark, path, old)
     storage.rename(spark, staging, path)
@@ -117,11 +124,14 @@ def merge_into(
     partition_by: str,
     order_by: Sequence[Column | str],
     newest_wins: bool = False,
+    null_safe: Sequence[str] = (),
 ) -> None:
     """Upsert into a partitioned Parquet table, rewriting only what changes.
 
     The batch wins over the table, as in MERGE. With ``newest_wins`` the newer
-    row of the two wins, for input that may arrive out of order.
+    row of the two wins, for input that may arrive out of order. A null in a key
+    matches nothing, except in the keys named ``null_safe``, where it equals a null. Rows
+    without a partition value lie in a partition of their own and move out of it when the value appears.
 
     Touched partitions are those of the batch plus those that hold a matching
     key today. The second set is found by scanning key and partition columns
@@ -132,23 +142,34 @@ def merge_into(
     # is kept; lost pieces are computed again from the source.
     batch = dedupe_latest(source, keys, order_by).persist()
     try:
-        _merge(batch, path, list(keys), partition_by, order_by, newest_wins)
+        _merge(batch, path, list(keys), partition_by, order_by, newest_wins, list(null_safe))
     finally:
         batch.unpersist()
 
 
-def _merge(batch: DataFrame, path: str, keys: list[str], partition_by: str, order_by, newest_wins: bool) -> None:
+def _never_null(df: DataFrame, names: Sequence[str]) -> DataFrame:
+    """Keys that compare null-safe: a struct is not null and equals one whose field is null too."""
+    return df.withColumns({f"_key_{c}": F.struct(c) for c in names})
+
+
+def _merge(
+    batch: DataFrame, path: str, keys: list[str], partition_by: str, order_by, newest_wins: bool, null_safe: list[str]
+) -> None:
     spark = batch.sparkSession
     if not storage.exists(spark, path):
         overwrite_partitions(batch, path, [partition_by])
         return
     column = F.col(partition_by)
-    target = read_partitioned(spark, path, batch.schema[partition_by])
+    target = _never_null(read_partitioned(spark, path, batch.schema[partition_by]), null_safe)
+    helpers = [f"_key_{c}" for c in null_safe]
+    batch = _never_null(batch, null_safe)
+    by_partition = partition_by in keys
+    keys = [f"_key_{c}" if c in null_safe else c for c in keys]
     # Only partition values travel to the driver, here and below; their texts name the folders.
     values = [column.alias("value"), column.cast("string").alias("text")]
     fresh = {tuple(r) for r in batch.select(*values).distinct().collect()}
     touched = set(fresh)
-    if partition_by not in keys:
+    if not by_partition:
         held = target.join(batch.select(*keys), keys, "left_semi").select(*values)
         touched |= {tuple(r) for r in held.distinct().collect()}
     if not touched:
@@ -157,9 +178,9 @@ def _merge(batch: DataFrame, path: str, keys: list[str], partition_by: str, orde
     among = column.isin(some) if some else F.lit(False)
     current = target.filter(among | column.isNull() if any(v is None for v, _ in touched) else among)
     if newest_wins:
-        rows = dedupe_latest(current.unionByName(batch), keys, order_by)
+        rows = dedupe_latest(current.unionByName(batch), keys, order_by).drop(*helpers)
     else:
-        rows = upsert(current, batch, keys)
+        rows = upsert(current, batch, keys).drop(*helpers)
     # A partition whose last row moved elsewhere is not in the output: drop it.
     doubtful = {text for _, text in touched - fresh}
     emptied = set()

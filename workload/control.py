@@ -92,14 +92,31 @@ def merge_text_partition(t: Tables) -> DataFrame:
 @query(
     "merge_escaped_partition",
     f"""{MERGED}, CASE WHEN {DEAR} THEN 'moved: x=1/2' WHEN o_orderstatus = 'P' THEN 'a:b/c d%' ELSE 'dear? ' || o_orderstatus END AS p
-FROM orders WHERE {DEAR} OR o_orderstatus <> 'O'""",
+FROM orders""",
 )
 def merge_escaped_partition(t: Tables) -> DataFrame:
     """Values that paths escape, with keys that move; a partition that moves as a whole leaves no folder."""
     name = F.when(F.col("o_orderstatus") == "P", "a:b/c d%").otherwise(F.concat(F.lit("dear? "), "o_orderstatus"))
     part = F.when((F.col("o_orderstatus") == "O") & (F.col("o_totalprice") > 400000), "goes: away").otherwise(name)
-    out = merged_parts(t, part, F.lit("moved: x=1/2"))
-    return out.filter("p <> 'dear? O'")
+    return merged_parts(t, part, F.lit("moved: x=1/2"))
+
+
+@query(
+    "merge_late_partition",
+    f"""SELECT o_orderkey, o_custkey, o_totalprice, CASE WHEN o_orderstatus = 'O' AND NOT ({DEAR}) THEN NULL
+WHEN {DEAR} AND o_orderstatus = 'F' THEN NULL ELSE strftime(o_orderdate, '%Y') END AS p FROM orders""",
+)
+def merge_late_partition(t: Tables) -> DataFrame:
+    """Open orders have no year yet. Three reruns add nothing; then the dear ones' year arrives, and dear filled ones lose theirs."""
+    path = t.scratch("merge")
+    rows = t.orders.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus", F.date_format("o_orderdate", "yyyy").alias("year"))
+    early = rows.withColumn("p", F.when(F.col("o_orderstatus") != "O", F.col("year"))).drop("year", "o_orderstatus")
+    for _ in range(3):
+        tables.merge_into(early, path, ["o_orderkey"], "p", ["o_custkey"])
+    later = rows.filter(DEAR).withColumn("p", F.when(F.col("o_orderstatus") != "F", F.col("year"))).drop("year", "o_orderstatus")
+    for _ in range(3):
+        tables.merge_into(later, path, ["o_orderkey"], "p", ["o_custkey"])
+    return tables.read_partitioned(t.spark, path, early.schema["p"])
 
 
 @query(

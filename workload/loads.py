@@ -63,6 +63,23 @@ def load_outages(t: Tables) -> DataFrame:
     return back(t, path)
 
 
+UNTIMED = "sys_id % 5 = 0"
+
+
+@query("load_outages_untimed", f"SELECT * REPLACE (CASE WHEN {UNTIMED} AND premises_count < 300000 THEN NULL ELSE opened_at END AS opened_at) FROM ({OUTAGES})")
+def load_outages_untimed(t: Tables) -> DataFrame:
+    """Every fifth outage comes without its time, three times over; those of the large ones arrive later."""
+    rows = v.incidents(t).select("sys_id", "opened_at", "resolved_at", "premises_count", "affected_poi_id")
+    rows = rows.withColumn("sys_updated_on", F.col("opened_at"))
+    poi, path = core.poi_registry(t), t.scratch("outages")
+    untimed = rows.withColumn("opened_at", F.when(~F.expr(UNTIMED), F.col("opened_at")))
+    for _ in range(3):
+        publish.outage_poll(untimed, poi, path, None)
+    for _ in range(2):
+        publish.outage_poll(rows.filter("premises_count >= 300000"), poi, path, None)
+    return back(t, path)
+
+
 # --- customer ----------------------------------------------------------------------------
 
 
@@ -155,6 +172,21 @@ def load_node_health(t: Tables) -> DataFrame:
     return back(t, path)
 
 
+NULL_HOUR = "node_id % 4 = 0"
+
+
+@query("load_node_health_untimed", core.ALERTS.replace("FROM scored", "FROM scored WHERE NOT (node_id % 4 = 0)").replace("WHERE health_status", "AND health_status"))
+def load_node_health_untimed(t: Tables) -> DataFrame:
+    """Samples without a time make one alert without an hour per node, however often they are merged."""
+    samples, path = v.node_samples(t), t.scratch("alerts")
+    samples = samples.withColumn("sample_ts", F.when(~F.expr(NULL_HOUR), F.col("sample_ts")))
+    for _ in range(3):
+        publish.node_alerts(samples, path)
+    alerts = back(t, path)
+    repeated = alerts.filter("hour_label IS NULL").groupBy("node_id", "node_type", "poi_id").count().filter("count > 1")
+    return alerts.filter("hour_label IS NOT NULL").join(repeated, "node_id", "left_anti")
+
+
 @query("load_port_audit", core.REMEDIATION)
 def load_port_audit(t: Tables) -> DataFrame:
     s = v.splitters(t).withColumn("state_territory", F.col("state_territory").cast("string"))
@@ -292,6 +324,16 @@ def load_noc_incidents(t: Tables) -> DataFrame:
     return back(t, path)
 
 
+@query("load_noc_untimed", f"SELECT * REPLACE (CASE WHEN CAST(severity AS INT) % 3 = 0 THEN NULL ELSE created_at END AS created_at) FROM ({landing.FLAT_INCIDENT})")
+def load_noc_untimed(t: Tables) -> DataFrame:
+    """A third of the incidents have no creation time; they are pulled three times."""
+    docs, path = landing.noc_docs(t), t.scratch("noc")
+    docs = docs.withColumn("created_at", F.when(F.col("severity").cast("int") % 3 != 0, F.col("created_at")))
+    for _ in range(3):
+        publish.noc_incidents(docs, path, None)
+    return back(t, path)
+
+
 @query("load_clickstream", landing.CLICKS)
 def load_clickstream(t: Tables) -> DataFrame:
     """Whole month first, then one day again: the day is replaced, not doubled."""
