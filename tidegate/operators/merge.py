@@ -32,11 +32,13 @@ def upsert(
     """
     keys = [*keys, SPREAD]
     s, t = with_spread(source, keys[:-1]), with_spread(target, keys[:-1])
-    return _merged(t, dedupe_latest(s, keys, order_by or []), keys, update_cols).select(*target.columns)
+    return with_source(t, dedupe_latest(s, keys, order_by or []), keys, update_cols).select(*target.columns)
 
 
-def _merged(target: DataFrame, source: DataFrame, keys: list[str], update_cols: Sequence[str] | None) -> DataFrame:
-    """Matched rows take ``update_cols`` from the source and the rest from the target; without it, all columns."""
+def with_source(
+    target: DataFrame, source: DataFrame, keys: list[str], update_cols: Sequence[str] | None = None
+) -> DataFrame:
+    """One full join on the keys. Matched rows take ``update_cols`` from the source and the rest from the target; without it, all columns."""
     cols = [c for c in target.columns if c not in keys]
     t = target.select(*keys, *[F.col(c).alias(f"_t_{c}") for c in cols], F.lit(True).alias("_in_t"))
     s = source.select(*keys, *[F.col(c).alias(f"_s_{c}") for c in cols if c in source.columns], F.lit(True).alias("_in_s"))

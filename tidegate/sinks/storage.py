@@ -28,6 +28,11 @@ def rename(spark: SparkSession, source: str, target: str) -> None:
         raise OSError(f"could not rename {source} to {target}")
 
 
+def folders(spark: SparkSession, pattern: str) -> list[str]:
+    fs, p = _fs(spark, pattern)
+    return [s.getPath().toString() for s in (fs.globStatus(p) or []) if s.isDirectory()]
+
+
 def newest_file(spark: SparkSession, pattern: str) -> str | None:
     """Greatest path matching a glob, from a listing of names only."""
     fs, p = _fs(spark, pattern)

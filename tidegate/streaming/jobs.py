@@ -101,6 +101,15 @@ def deadletter_sink(schema: str, body: str, good_path: str, dead_path: str, keep
     return handle
 
 
+def append_sink(path: str) -> Callable[[DataFrame, int], None]:
+    """Each batch owns its partition, so a batch that is run again replaces its own rows."""
+
+    def handle(batch: DataFrame, batch_id: int) -> None:
+        _write_batch(batch, path, batch_id)
+
+    return handle
+
+
 def upsert_sink(
     path: str, keys: Sequence[str], partition_by: str, order_by: Sequence[str], newest_wins: bool = False
 ) -> Callable[[DataFrame, int], None]:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -15,8 +16,8 @@ from tidegate.operators.aggregates import nps_daily, topic_averages
 from tidegate.operators.joins import orphans, with_manager
 from tidegate.operators.quality import Gate
 from tidegate.plans.experience import topic_scores
-from tidegate.sinks import tables
-from tidegate.streaming import jobs
+from tidegate.sinks import tables, versions
+from tidegate.streaming import correlate, jobs
 from workload import core, landing
 from workload import views as v
 from workload.registry import D, MONEY, R, Tables, query
@@ -128,6 +129,46 @@ def merge_time_partition(t: Tables) -> DataFrame:
     return merged_parts(t, part, F.expr("TIMESTAMP_NTZ'2030-01-01 10:30:00'"))
 
 
+@query(
+    "versioned_refresh",
+    """SELECT o_orderpriority, count(*) AS orders, 3 AS refreshes, 2 AS versions, true AS reader_kept_its_version FROM orders GROUP BY 1""",
+)
+def versioned_refresh(t: Tables) -> DataFrame:
+    """A mart refreshed three times under one name; a reader that began before the second step still reads its rows."""
+    name, root = f"mart_{uuid.uuid4().hex}", t.scratch("mart")
+    rows = t.orders.groupBy("o_orderpriority").agg(F.count("*").alias("orders"))
+    first = rows.withColumn("refreshes", F.lit(1))
+    versions.refresh(first, name, root, lambda df: Gate(df, "mart").min_rows(1))
+    reader = t.spark.table(name)
+    want = {tuple(r) for r in reader.collect()}
+    versions.refresh(rows.withColumn("refreshes", F.lit(2)), name, root)
+    kept = {tuple(r) for r in reader.collect()} == want
+    versions.refresh(rows.withColumn("refreshes", F.lit(3)), name, root)
+    found = t.spark.read.parquet(versions.location(t.spark, name))
+    number = len(versions.versions(t.spark, root))
+    t.spark.sql(f"DROP TABLE {name}")
+    return found.withColumns({"versions": F.lit(number), "reader_kept_its_version": F.lit(kept)})
+
+
+@query(
+    "merge_bucketed",
+    f"""SELECT o_orderkey, o_custkey, CASE WHEN {DEAR} THEN 'dear' ELSE o_orderstatus END AS o_orderstatus,
+CASE WHEN {DEAR} THEN 0.0 ELSE o_totalprice END AS o_totalprice FROM orders""",
+)
+def merge_bucketed(t: Tables) -> DataFrame:
+    """A bucketed target takes the dear orders twice and the latest ones, which it does not have yet, once."""
+    name, rows = f"orders_{uuid.uuid4().hex}", t.orders.select("o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate")
+    late = F.col("o_orderdate") >= dt.datetime(2001, 1, 1)
+    versions.write_bucketed(rows.filter(~late).drop("o_orderdate"), name, t.scratch("bucketed"), ["o_orderkey"], 8)
+    rows = rows.withColumns({"o_totalprice": F.when(F.expr(DEAR), 0.0).otherwise(F.col("o_totalprice")),
+                             "o_orderstatus": F.when(F.expr(DEAR), "dear").otherwise(F.col("o_orderstatus"))})
+    for batch in (rows.filter("o_orderstatus = 'dear'"), rows.filter("o_orderstatus = 'dear'"), rows.filter(late)):
+        path = t.scratch("bucketed")
+        versions.merge_bucketed(batch.drop("o_orderdate"), name, path, ["o_orderkey"], 8, ["o_totalprice"])
+    t.spark.sql(f"DROP TABLE {name}")
+    return t.spark.read.parquet(path)
+
+
 LO, HI = dt.datetime(2024, 1, 10, 5), dt.datetime(2024, 1, 10, 9)
 CUT_LO, CUT_HI = dt.datetime(2024, 1, 11, 5, 30), dt.datetime(2024, 1, 11, 7, 10)
 
@@ -424,3 +465,58 @@ def stream_dead_letters(t: Tables) -> DataFrame:
     jobs.drain(stream, jobs.deadletter_sink("order_id string, event_type string", "body", good, dead, ["event_id"]))
     both = [t.spark.read.parquet(p).select("event_id", F.lit(r).alias("route")) for p, r in ((good, "good"), (dead, "dead"))]
     return both[0].unionByName(both[1])
+
+
+CLOSING = -1
+
+
+def closing_stream(t: Tables, df: DataFrame, label: str, files: int = 3) -> DataFrame:
+    """``df`` (with ts) as files in a stream, and after them a row of the far future, which lets the watermark close everything."""
+    path, last = t.scratch(label), F.lit("2026-01-01").cast("timestamp")
+    df = df.withColumn("ts", F.col("ts").cast("timestamp"))
+    df.repartition(files).write.parquet(path)
+    # The closing row needs a key, because Spark drops rows without one before it looks at their time.
+    end = [(last if f.name == "ts" else F.lit(True if f.dataType == T.BooleanType() else CLOSING).cast(f.dataType)).alias(f.name) for f in df.schema.fields]
+    t.spark.range(1).select(*end).write.mode("append").parquet(path)
+    shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
+    return jobs.read_events(t.spark, "parquet", {"path": path, "maxFilesPerTrigger": "2"}, shape)
+
+
+BUSY = "value > 40"
+
+
+@query(
+    "sustained_stream",
+    f"""WITH hours AS (SELECT DISTINCT event_type, date_trunc('hour', ts) AS h FROM events WHERE {BUSY}),
+runs AS (SELECT event_type, h, h - INTERVAL 1 HOUR * row_number() OVER (PARTITION BY event_type ORDER BY h) AS run FROM hours)
+SELECT event_type, min(h) AS run_start, max(h) AS run_end, count(*) AS hours FROM runs GROUP BY event_type, run HAVING count(*) >= 3""",
+)
+def sustained_stream(t: Tables) -> DataFrame:
+    """Runs of three busy hours as a stream, whose files hold the hours in any order."""
+    rows = t.events.select("event_type", "ts", F.expr(BUSY).alias("busy"))
+    stream = closing_stream(t, rows, "busy")
+    out = t.scratch("runs")
+    jobs.drain(correlate.sustained_stream(stream, "event_type", "ts", "busy", 3, NEVER_LATE), jobs.append_sink(out))
+    return t.spark.read.parquet(out).select("event_type", "run_start", "run_end", "hours").filter(F.col("event_type") != str(CLOSING))
+
+
+@query(
+    "survey_fault_stream",
+    """SELECT r.event_id AS response_id, r.user_id AS service_id, r.ts AS responded_at, i.event_id AS incident_id, i.ts AS opened_at
+FROM events r LEFT JOIN events i ON i.event_type = 'error' AND i.user_id = r.user_id AND i.ts <= r.ts AND i.ts >= r.ts - INTERVAL 48 HOUR
+WHERE r.event_type = 'purchase'""",
+)
+def survey_fault_stream(t: Tables) -> DataFrame:
+    """Surveys meet the faults of the 48 hours before them as both arrive; those without a fault come out too."""
+    kind = F.col("event_type")
+    surveys = closing_stream(t, t.events.filter(kind == "purchase").select(
+        F.col("event_id").alias("response_id"), F.col("user_id").alias("service_id"), "ts"), "surveys")
+    faults = closing_stream(t, t.events.filter(kind == "error").select(
+        F.col("event_id").alias("incident_id"), F.col("user_id").alias("service_id"), "ts"), "faults")
+    pairs = correlate.preceded_by(
+        surveys.withColumnRenamed("ts", "responded_at"), faults.withColumnRenamed("ts", "opened_at"), ["service_id"],
+        "responded_at", "opened_at", "48 HOURS", NEVER_LATE,
+    )
+    out = t.scratch("pairs")
+    jobs.drain(pairs, jobs.append_sink(out))
+    return t.spark.read.parquet(out).filter(F.col("response_id") != CLOSING).select("response_id", "service_id", "responded_at", "incident_id", "opened_at")
