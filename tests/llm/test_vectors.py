@@ -80,12 +80,21 @@ def exact(table, every, k):
     return out
 
 
-def test_small_search_is_exact(spark):
+def test_small_search(spark):
+    """Scores and order are exact; up to k + 1 rows all are returned, beyond that nearly all of the best."""
     table = vectors(3) | ODD
-    got = {}
+    got, want = {}, {q: x for q, x in exact(table, 3, 7).items() if x}
     for r in neighbours.nearest(frame(spark, table), F.col("vec_id") % 3 == 0, 7).orderBy("query_id", "rank").collect():
         got.setdefault(r.query_id, []).append((r.vec_id, r.score))
-    assert got == {q: x for q, x in exact(table, 3, 7).items() if x}
+    every = {q: dict(x) for q, x in exact(table, 3, 10**6).items()}
+    assert set(got) == set(want)
+    for q, found in got.items():
+        assert len(found) == len(want[q]) and found == sorted(found, key=lambda x: (-x[1], x[0]))
+        assert all(every[q][i] == score for i, score in found)
+    assert sum(len(set(found) & set(want[q])) for q, found in got.items()) >= 0.9 * sum(map(len, want.values()))
+    few = dict(list(vectors(3).items())[:8])
+    got = neighbours.nearest(frame(spark, few), F.lit(True), 7).collect()
+    assert sorted((r.query_id, r.vec_id, r.score) for r in got) == sorted((q, i, s) for q, x in exact(few, 1, 7).items() for i, s in x)
     assert neighbours.nearest(frame(spark, {}), F.lit(True)).count() == 0
 
 
@@ -95,18 +104,49 @@ def test_ties_go_to_the_smaller_id(spark):
     assert [r.vec_id for r in rows] == [0, 1, 2, 3, 5]
 
 
-def test_recall(spark, monkeypatch):
-    monkeypatch.setattr(neighbours, "SHARD", 3000)
-    monkeypatch.setattr(neighbours, "LEAST", 256)
-    rng = np.random.default_rng(1)
-    x = rng.normal(size=(6000, 64)).astype(np.float32) * rng.uniform(0.5, 2, size=(6000, 1)).astype(np.float32)
+def recall(spark, x, every):
     df = spark.createDataFrame([(i, v.tolist(), 0) for i, v in enumerate(x)], KIND)
-    rows = neighbours.nearest(df, F.col("vec_id") % 60 == 0, 20).collect()
-    assert len(rows) == 100 * 20
-    x = x.astype(float)
-    hit = 0
-    for q in range(0, 6000, 60):
+    rows = neighbours.nearest(df, F.col("vec_id") % every == 0, 20).collect()
+    assert len(rows) == -(-len(x) // every) * 20
+    found = {}
+    for r in rows:
+        found.setdefault(r.query_id, set()).add(r.vec_id)
+    x, hit = x.astype(float), 0
+    for q, ids in found.items():
         s = x @ x[q]
         s[q] = -np.inf
-        hit += len(set(np.argsort(-s)[:20].tolist()) & {r.vec_id for r in rows if r.query_id == q})
-    assert hit / len(rows) >= 0.9
+        hit += len(set(np.argsort(-s)[:20].tolist()) & ids)
+    return hit / len(rows)
+
+
+def test_recall_over_shards(spark):
+    """Production constants, three shards, vectors without structure: the hardest case."""
+    rng = np.random.default_rng(1)
+    x = rng.normal(size=(20_000, 64)).astype(np.float32) * rng.uniform(0.5, 2, size=(20_000, 1)).astype(np.float32)
+    assert recall(spark, x, 100) >= 0.9
+
+
+def test_equal_vectors_over_shards(spark, monkeypatch):
+    monkeypatch.setattr(neighbours, "SHARD", 500)
+    df = spark.createDataFrame([(i, [1.0, 0.5, 2.0], 0) for i in range(2100)], KIND)
+    rows = neighbours.nearest(df, F.col("vec_id") % 700 == 0, 20).collect()
+    assert {q: [r.vec_id for r in sorted(rows, key=lambda r: r["rank"]) if r.query_id == q] for q in (0, 700, 1400)} == {
+        0: list(range(1, 21)), 700: list(range(20)), 1400: list(range(20))}
+
+
+def test_margins_only_drop_what_cannot_be_best():
+    """On clustered vectors few candidates are left, and the best are among them."""
+    rng = np.random.default_rng(4)
+    centres = rng.normal(size=(60, 32))
+    x = centres[rng.integers(0, 60, 4000)] + 0.1 * rng.normal(size=(4000, 32))
+    forest = neighbours.Forest(x, float(np.sqrt((x * x).sum(1)).max()))
+    leaf, trees, left = forest.leaves(x), np.arange(neighbours.TREES)[:, None], []
+    places, margins = forest.order(x[:50])
+    for i, (place, margin) in enumerate(zip(places, margins, strict=True)):
+        same = np.arange(len(x)) == i
+        met = place[trees, leaf].min(0)
+        rows = neighbours.promising(x, x[i], met, same, margin[trees, leaf], len(x), 20, forest.norm)
+        score = np.where(same, -np.inf, x @ x[i])
+        assert set(np.argsort(-score)[:20].tolist()) <= set(rows.tolist())
+        left.append(len(rows) / len(x))
+    assert np.mean(left) < 0.5

@@ -10,8 +10,11 @@ The vectors are dealt by hash over shards of about SHARD rows, the queries over
 a cell is one shard with one block, so memory is bounded and any cell can be redone
 alone. In a cell, one priority queue holds the nodes of all trees; a leaf's place in it
 is the worst margin by which its path leaves the query's side. Leaves are taken in that
-order until SHARE of the shard (LEAST rows at least) has been met, and these candidates
-alone are reranked by inner product in double precision. The best of all shards are
+order until SHARE of the shard (k + 1 rows at least) has been met. A margin is also a bound:
+behind it the distance is at least the margin, so the inner product is at most
+(|q|^2 + M^2 - margin^2) / 2. Once the first FIRST of the queue have given k scores, candidates whose
+margin in any tree leaves them no better score are dropped; these are never among the best. The
+rest alone is reranked by inner product in double precision. The best of all shards are
 merged per query.
 
 Structureless vectors need so large a share: at 64 independent dimensions the twentieth
@@ -43,7 +46,7 @@ SAMPLE = 16_384
 SHARD = 8192
 QUERY_BLOCK = 1024
 SHARE = 0.6
-LEAST = 2048
+FIRST = 0.05
 
 
 class Forest:
@@ -88,8 +91,8 @@ class Forest:
                 node += along > self.cuts[d][t][node // 2]
         return out
 
-    def order(self, q: np.ndarray) -> np.ndarray:
-        """For every query the place of every tree's leaves in the shared queue."""
+    def order(self, q: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """For every query the place of every tree's leaves in the shared queue, and their margins."""
         q = np.concatenate([q, np.zeros((len(q), 1))], axis=1)
         far = np.zeros((len(q), TREES, 1))
         for d in range(DEPTH):
@@ -99,7 +102,7 @@ class Forest:
         flat = far.reshape(len(q), -1)
         place = np.empty(flat.shape, np.int32)
         np.put_along_axis(place, np.argsort(flat, axis=1, kind="stable"), np.arange(flat.shape[1], dtype=np.int32)[None], 1)
-        return place.reshape(far.shape)
+        return place.reshape(far.shape), far
 
 
 def best(x: np.ndarray, ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
@@ -115,6 +118,20 @@ def best(x: np.ndarray, ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndar
     return rows[order], score[order]
 
 
+def promising(
+    x: np.ndarray, q: np.ndarray, met: np.ndarray, same: np.ndarray, margins: np.ndarray, budget: int, k: int, norm: float
+) -> np.ndarray:
+    """Rows among the ``budget`` first met that may be among the k best; ``margins`` has one row per tree."""
+    taken = np.flatnonzero((met <= np.partition(met, budget - 1)[budget - 1]) & ~same)
+    first = min(len(taken), max(4 * k, int(FIRST * len(x))))
+    if first <= k or first == len(taken):
+        return taken
+    early = taken[np.argpartition(met[taken], first - 1)[:first]]
+    known = np.partition(x[early] @ q, first - k)[first - k]
+    most = (q @ q + norm**2 - margins[:, taken].max(0) ** 2) / 2
+    return taken[most >= known - 1e-9 * (1 + abs(known) + norm**2)]
+
+
 def _search(forests: dict[int, Forest], k: int):
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "cell", rows=1):
@@ -129,14 +146,13 @@ def _search(forests: dict[int, Forest], k: int):
                 forest = forests[x.shape[1]]
                 leaf = forest.leaves(x)
                 trees = np.arange(TREES)[:, None]
-                budget = min(len(x), max(LEAST, int(np.ceil(SHARE * len(x)))))
+                budget = min(len(x), max(k + 1, int(np.ceil(SHARE * len(x)))))
                 out: list[tuple] = []
                 for begin in range(0, len(q), 64):
-                    order = forest.order(q[begin : begin + 64])
-                    for i, place in enumerate(order, begin):
+                    places, margins = forest.order(q[begin : begin + 64])
+                    for i, place, margin in zip(range(begin, len(q)), places, margins, strict=False):
                         met = place[trees, leaf].min(0)  # when the queue first comes to each vector
-                        taken = np.flatnonzero(met <= np.partition(met, budget - 1)[budget - 1])
-                        taken = taken[ids[taken] != own[i]]
+                        taken = promising(x, q[i], met, own[i] == ids, margin[trees, leaf], budget, k, forest.norm)
                         rows, score = best(x[taken], ids[taken], q[i], k)
                         out.append((np.full(len(rows), own[i]), ids[taken][rows], score))
                 one, two, score = (np.concatenate(c) for c in zip(*out, strict=True))

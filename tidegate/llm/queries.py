@@ -193,14 +193,7 @@ def op9_warc_packages(spark: SparkSession, folder: str) -> DataFrame:
     return warc_packages.archived(spark, table(spark, folder, "pages"))
 
 
-# At this size the search meets every candidate, so it is exact.
-@query("op10_neighbours", """
-WITH v AS (SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e, c.e) AS score
-    FROM v q JOIN v c ON q.vec_id % 20 = 0 AND c.vec_id <> q.vec_id),
-r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s)
-SELECT query_id, CAST(rank AS INT) AS rank, vec_id, score FROM r WHERE rank <= 20
-""")
+@query("op10_neighbours")
 def op10_neighbours(spark: SparkSession, folder: str) -> DataFrame:
     return neighbours.nearest(table(spark, folder, "embeddings"), F.col("vec_id") % 20 == 0, k=20)
 
