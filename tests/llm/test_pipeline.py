@@ -80,6 +80,21 @@ def test_rows_of_one_id_keep_their_own_text(spark):
     assert all(r.n_chars == len(r.text) for r in got)
 
 
+def test_near_duplicates_of_rows_that_share_an_id(spark):
+    """An id with a copy of another text and a text of its own loses the copy only; of repeated rows one stays."""
+    base = [f"w{i}" for i in range(80)]
+    a, near_a = " ".join(base), " ".join([*base[:79], "other"])
+    b, c = (" ".join(f"{x}{i}" for i in range(60)) for x in "bc")
+    near_c = f"{c} more"
+    rows = [(1, a), (2, near_a), (2, b), (3, c), (3, c), (3, near_c), (4, c), (5, None), (5, " \n"), (6, "x"), (6, "x"), (6, ""), (None, a), (None, a)]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got = [(r.doc_id, r.text) for r in corpus_pipeline.drop_near_duplicates(spark, docs.withColumn("mark", F.lit("clash")), FOLDER).collect()]
+    three = [x for x in got if x[0] == 3]
+    assert len(three) == 1 and three[0][1] in (c, near_c)
+    want = [(1, a), (2, b), (5, None), (5, " \n"), (6, "x"), (6, ""), (None, a), (None, a)]
+    assert sorted((x for x in got if x[0] != 3), key=str) == sorted(want, key=str)
+
+
 def test_run_is_the_stages(spark):
     rows = corpus_pipeline.run(spark, FOLDER)
     assert rows.columns == ["doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset"]

@@ -149,6 +149,32 @@ def test_expectation_maximisation_finds_shares():
     assert abs(share[0, 0] - 0.75) < 0.02 and likely[0] < 0
 
 
+def test_language_sets(spark):
+    """The set found is the best of all sets by penalised likelihood, also where it holds four languages."""
+    rng = random.Random(8)
+    kinds = {"aa": "aeiomnrst", "bb": "bcdfgkluy", "cc": "äöüvwxzhj", "dd": "pqñçåøéèß", "ee": "abcdeåøzz"}
+    taught = [(i, sentences(rng, kinds[k], 60), k) for i, k in enumerate(list(kinds) * 12)]
+    model = language.learn(spark.createDataFrame(taught, "doc_id long, text string, lang string"))
+    mixed = [["aa"], ["aa", "bb"], ["aa", "bb", "cc"], ["aa", "bb", "cc", "dd"], ["dd", "ee"], ["ee"]]
+    texts = [" ".join(sentences(rng, kinds[k], 60) for k in m) for m in mixed]
+    there, chosen, _ = language.mixtures(model, [*texts, "", None, "12"])
+    assert there.tolist() == list(range(len(texts)))
+    for text, want, got in zip(texts, mixed, chosen, strict=True):
+        gram, _ = language.trigrams([text])
+        gram, count = np.unique(gram, return_counts=True)
+        best = {}
+        for bits in range(1, 32):
+            names = [i for i in range(5) if bits >> i & 1]
+            start = np.zeros((1, 5))
+            start[0, names] = 1 / len(names)
+            _, likely = language._fit(model.p[gram], count.astype(float), np.array([0]), start)
+            best[bits] = likely[0] - language.PENALTY / 2 * (len(names) - 1) * np.log(count.sum())
+        top = max(best, key=best.get)
+        found = {model.names[i] for i in np.flatnonzero(got)}
+        assert found == {model.names[i] for i in range(5) if top >> i & 1} == set(want)
+        assert np.isclose(got.sum(), 1)
+
+
 def brute_marginals(unary, step):
     total, good = 0.0, np.zeros(len(unary))
     for bits in range(2 ** len(unary)):

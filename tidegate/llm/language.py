@@ -6,9 +6,10 @@ counted over all training texts.
 
 Inference: a document is a mixture of languages. Expectation-maximisation estimates the
 proportions from the trigrams' likelihoods, first over all languages. Then nested sets,
-in the order of those proportions and only of languages with MIN_SHARE at least, are
-fitted again, and the set with the best likelihood less PENALTY / 2 * log(n) for every
-further language is taken. The language with the largest proportion in it is the
+in the order of those proportions, are fitted again, and the set with the best
+likelihood less PENALTY / 2 * log(n) for every further language is taken. No set is likelier
+than the mixture of all, so a text's sets grow until that likelihood less the penalty of
+the next size no longer exceeds the best found; there is no other limit to them. The language with the largest proportion in it is the
 prediction; the score is that proportion times the posterior of the language among all
 when only one is allowed (likelihoods taken per letter, as trigrams overlap threefold).
 
@@ -31,8 +32,6 @@ from tidegate.llm.shared import bounds, mix, pieces
 
 GRAMS = 1 << 16
 SMOOTHING = 0.5
-MIN_SHARE = 0.05
-MOST_LANGUAGES = 3
 PENALTY = 8.0
 ROUNDS = 8
 UNKNOWN = "und"
@@ -104,12 +103,12 @@ def _fit(p: np.ndarray, count: np.ndarray, starts: np.ndarray, shares: np.ndarra
     return shares, np.add.reduceat(count * whole, starts)
 
 
-def infer(model: Languages, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
-    """Language and score of every text."""
-    out, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+def mixtures(model: Languages, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Of the texts that have letters: their places, the proportions of their language sets, and the posterior of one language."""
     gram, doc = trigrams(texts)
+    languages = len(model.names)
     if not len(gram):
-        return out, score
+        return np.zeros(0, np.int64), np.zeros((0, languages)), np.zeros(0)
     key = np.sort(doc * GRAMS + gram)
     cut = bounds(key)
     key, count = key[cut[:-1]], np.diff(cut).astype(np.float64)
@@ -117,32 +116,37 @@ def infer(model: Languages, texts: list[str | None]) -> tuple[list[str], np.ndar
     cut = bounds(who)
     starts, there = cut[:-1], who[cut[:-1]]
     p = model.p[gram]
-    n = np.add.reduceat(count, starts)
+    price = PENALTY / 2 * np.log(np.add.reduceat(count, starts))
     alone = np.add.reduceat(np.log(p) * count[:, None], starts, axis=0)
     top = alone.argmax(1)
     chosen = np.zeros(alone.shape)
     chosen[np.arange(len(top)), top] = 1
     value = alone.max(1)
-    shares, _ = _fit(p, count, starts, np.full(alone.shape, 1 / alone.shape[1]))
+    shares, most = _fit(p, count, starts, np.full(alone.shape, 1 / languages))
     order = np.argsort(-shares, axis=1, kind="stable")
-    for k in range(2, min(MOST_LANGUAGES, alone.shape[1]) + 1):
-        some = np.flatnonzero(np.take_along_axis(shares, order[:, k - 1 : k], 1)[:, 0] >= MIN_SHARE)
+    for k in range(2, languages + 1):
+        some = np.flatnonzero(most - (k - 1) * price > value)
         if not len(some):
             break
-        allowed = np.zeros((len(some), alone.shape[1]))
+        allowed = np.zeros((len(some), languages))
         np.put_along_axis(allowed, order[some, :k], np.take_along_axis(shares[some], order[some, :k], 1), 1)
         rows = np.concatenate([np.arange(cut[i], cut[i + 1]) for i in some])
         sizes = np.diff(cut)[some]
         again, likely = _fit(p[rows], count[rows], np.cumsum(sizes) - sizes, allowed / allowed.sum(1, keepdims=True))
-        gain = likely - PENALTY / 2 * (k - 1) * np.log(n[some])
+        gain = likely - (k - 1) * price[some]
         better = gain > value[some]
         value[some[better]], chosen[some[better]] = gain[better], again[better]
-    main = chosen.argmax(1)
     posterior = np.exp((alone - alone.max(1, keepdims=True)) / 3)
-    posterior = posterior.max(1) / posterior.sum(1)
-    for i, d in enumerate(there):
-        out[d] = model.names[main[i]]
-    score[there] = np.minimum(chosen.max(1) * posterior, 1)
+    return there, chosen, posterior.max(1) / posterior.sum(1)
+
+
+def infer(model: Languages, texts: list[str | None]) -> tuple[list[str], np.ndarray]:
+    """Language and score of every text."""
+    out, score = [UNKNOWN] * len(texts), np.zeros(len(texts))
+    there, chosen, posterior = mixtures(model, texts)
+    for d, best in zip(there, chosen.argmax(1), strict=True):
+        out[d] = model.names[best]
+    score[there] = np.minimum(chosen.max(1, initial=0) * posterior, 1)
     return out, score
 
 

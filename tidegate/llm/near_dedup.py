@@ -93,6 +93,7 @@ def _sketches(size: int):
                 keys.append(joined(value[pairs[:, 0]], value[pairs[:, 1]]).view(np.int64))
             yield pa.RecordBatch.from_pydict({
                 "doc_id": batch["doc_id"].cast(pa.int64()),
+                **{name: batch[name] for name in batch.schema.names[2:]},
                 "n_shingles": pa.array(np.diff(first), pa.int64()),
                 "set_a": pa.array(sums[0].view(np.int64)),
                 "set_b": pa.array(sums[1].view(np.int64)),
@@ -245,13 +246,17 @@ def _group_cells(percent: int):
     return work
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` (doc_id, text): doc_id, n_shingles, component_id and kept, one row per row of ``docs``."""
+def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, mark: str | None = None) -> DataFrame:
+    """``docs`` (doc_id, text): doc_id, n_shingles, component_id and kept, one row per row of ``docs``.
+
+    ``mark`` names a text column of ``docs`` that each row carries along, to tell rows of one id apart.
+    """
+    carried = [mark] if mark else []
     base = only(docs, "doc_id", "text")
     whole = stored(
-        base.mapInArrow(
+        only(docs, "doc_id", "text", *carried).mapInArrow(
             _sketches(shingle),
-            "doc_id long, n_shingles long, set_a long, set_b long, sketch binary, keys array<long>",
+            "doc_id long, " + "".join(f"`{c}` string, " for c in carried) + "n_shingles long, set_a long, set_b long, sketch binary, keys array<long>",
         ),
         "near-sketches",
     )
@@ -283,10 +288,11 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80) -> Dat
     found = components(links, "near-links")
     named = classes.join(found, "node", "left").select(*same, F.coalesce("component", "node").alias("component"))
     return (
-        whole.select("doc_id", *same)
+        whole.select("doc_id", *carried, *same)
         .join(named, same, "left")
         .select(
             "doc_id",
+            *carried,
             "n_shingles",
             F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id")).alias("component_id"),
         )
