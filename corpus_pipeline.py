@@ -25,10 +25,29 @@ def identify_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near-duplicates the document with the least id stays (five words, 0.8)."""
-    docs = only(docs, *COLUMNS)
-    gone = near_dedup.near_duplicates(docs).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*COLUMNS)
+    """Of each group of near-duplicates one row stays, with the least id (five words, 0.8).
+
+    A row is known by its id and the digest of its text, so rows of one id are judged each by its own text; of
+    rows of the least id in one group the one with the least digest stays, once. Rows without words or id stay.
+    """
+    key = ["doc_id", "mark"]
+    docs = only(docs, *COLUMNS).withColumn("mark", F.md5(F.coalesce("text", F.lit(""))))
+    named = docs.select(
+        F.when(F.col("doc_id").isNotNull(), F.xxhash64(*key)).alias("doc_id"), "text", F.concat_ws(":", *key).alias("name")
+    )
+    judged = near_dedup.near_duplicates(named, mark="name").filter("n_shingles > 0 AND doc_id IS NOT NULL").select(
+        "component_id", F.split_part("name", F.lit(":"), F.lit(1)).cast("long").alias("doc_id"), F.split_part("name", F.lit(":"), F.lit(2)).alias("mark")
+    )
+    rows = stored(judged.groupBy("component_id", *key).agg(F.count("*").alias("rows")), "pipeline-near-rows")
+    groups = (
+        rows.groupBy("component_id").agg(F.min(F.struct(*key, "rows")).alias("first"), F.sum("rows").alias("rows"))
+        .filter("rows > 1").select("component_id", "first")
+    )
+    gone = rows.join(groups, "component_id").filter("doc_id <> first.doc_id OR mark <> first.mark").select(*key)
+    repeated = groups.filter("first.rows > 1").select("first.doc_id", "first.mark")
+    left = docs.join(gone, key, "left_anti")
+    once = left.join(repeated, key).groupBy(*key).agg(F.min(F.struct(*COLUMNS)).alias("row"))
+    return left.join(repeated, key, "left_anti").select(*COLUMNS).unionByName(once.select("row.*"))
 
 
 def remove_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +78,8 @@ def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     taken = (
         mixing.mix(docs).filter("size > 0")
         .select("doc_id", "source", "size", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("times"))
-        .filter("times > 0").distinct()
+        # Rows of one id, source and size share a key; one value each, or the join would multiply them.
+        .filter("times > 0").groupBy("doc_id", "source", "size").agg(F.max("times").alias("times"))
     )
     same = docs.withColumn("size", mixing.word_count(F.col("text"))).alias("d")
     return (
