@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidegate.operators import aggregates as agg
+from tidegate.operators import selection
 from tidegate.operators.keys import rework_flag
 from tidegate.operators.reconcile import ar_gl_reconciliation
 from tidegate.plans import assets as assets_plan
@@ -509,3 +510,25 @@ def cx_fault_correlation(t: Tables) -> DataFrame:
     inc = itsm.incidents_with_flags(itsm_incidents(t), itsm_slas(t))
     r = experience.survey_responses(cx_responses(t), programmes(t))
     return experience.cx_fault_correlation(r, inc, control.topics(t))
+
+
+@query(
+    "percentiles_by_rank",
+    f"""SELECT event_type, {R('quantile_cont(value, 0.5)', 4)} AS p50, {R('quantile_cont(value, 0.95)', 4)} AS p95, {R('max(value)', 4)} AS p100 FROM events GROUP BY 1""",
+)
+def percentiles_by_rank(t: Tables) -> DataFrame:
+    """Exact percentiles of values without a grid."""
+    return selection.percentiles_by_rank(t.events, ["event_type"], "value", {"p50": 0.5, "p95": 0.95, "p100": 1.0})
+
+
+@query(
+    "p95_as_of_every_day",
+    f"""WITH f AS (SELECT user_id AS poi_id, CAST(ts AS DATE) AS d, round({MONEY('value')}, 0) AS pct FROM events),
+days AS (SELECT DISTINCT poi_id, CAST(d + CAST(k AS INTEGER) AS DATE) AS as_of FROM f, unnest(generate_series(0, 30)) AS s(k))
+SELECT days.poi_id, CAST(as_of AS VARCHAR) AS as_of, count(*) AS rows, {R('quantile_cont(CAST(pct AS DOUBLE), 0.95)', 4)} AS p95
+FROM days JOIN f ON f.poi_id = days.poi_id AND f.d BETWEEN as_of - 30 AND as_of WHERE as_of <= DATE '2024-02-10' GROUP BY ALL""",
+)
+def p95_as_of_every_day(t: Tables) -> DataFrame:
+    """Utilisation in the thirty days before every day, not before one fixed date."""
+    facts = t.events.select(F.col("user_id").alias("poi_id"), F.to_date("ts").alias("d"), F.round(v.money("value"), 0).alias("pct"))
+    return selection.percentile_as_of(facts, ["poi_id"], "d", "pct", 0.95, 30, "2024-02-10", "p95")
