@@ -26,11 +26,11 @@ RUN_DATE = "1999-06-30"
 
 # --- billing ---------------------------------------------------------------------
 
-BILLING_MONTHLY = f"""WITH {v.BILLING}
-SELECT rsp_id, {DAY("date_trunc('month', billing_date)")} AS billing_month, {D('sum(charge_amount_aud)')} AS total_charge_aud,
-       {D('sum(cvc_mb_allocated)')} AS total_cvc_mb_allocated, {D('sum(cvc_mb_used)')} AS total_cvc_mb_used,
-       count(*) AS line_count, max(loaded_at) AS last_loaded_at
-FROM billing GROUP BY 1, 2"""
+BILLING_MONTHLY = f"""WITH {v.BILLING},
+dated AS (SELECT strftime(billing_date, '%Y-%m') || '-01' AS billing_month, * FROM billing)
+SELECT billing_month, rsp_id, max(loaded_at) AS last_loaded_at, count(*) AS line_count, {D('sum(cvc_mb_used)')} AS total_cvc_mb_used,
+       {D('sum(cvc_mb_allocated)')} AS total_cvc_mb_allocated, {D('sum(charge_amount_aud)')} AS total_charge_aud
+FROM dated GROUP BY billing_month, rsp_id"""
 
 
 @query("billing_monthly", BILLING_MONTHLY)
@@ -175,13 +175,21 @@ def regulatory(t: Tables) -> DataFrame:
     )
 
 
-def report_ctes(grain: str) -> str:
-    return f"""{v.ACTIVATIONS}, {v.INCIDENTS}, {v.UTILISATION}, {M_ACT}, {M_FAULT}, {M_MSF}, {m_cvc(grain, CVC_DATE)}, report AS (
-  SELECT '{RUN_DATE}' AS report_date, state_territory, technology_type, rsp_id, total_activations, sla_met_count, sla_compliance_pct,
-         avg_days_to_activate, total_faults, resolved_2bd, resolved_5bd, resolved_20bd, msf_event_count, total_affected_premises,
-         congested_hours, peak_utilisation_pct
-  FROM m_act LEFT JOIN m_fault USING (state_territory, technology_type, rsp_id)
-  LEFT JOIN m_msf USING (state_territory) LEFT JOIN m_cvc_{grain} USING (state_territory))"""
+COUNTED = ["total_activations", "sla_met_count", "sla_compliance_pct", "avg_days_to_activate"]
+REPORTED = [*COUNTED, "total_faults", "resolved_2bd", "resolved_5bd", "resolved_20bd", "msf_event_count",
+            "total_affected_premises", "congested_hours", "peak_utilisation_pct"]
+
+
+def report_ctes(grain: str, cvc_date: str = CVC_DATE) -> str:
+    """The four metric sets as rows of one key, of which each column is known in one; state figures are dealt to the state's keys."""
+    each = ", ".join(f"max({c}) AS {c}" for c in REPORTED)
+    return f"""{v.ACTIVATIONS}, {v.INCIDENTS}, {v.UTILISATION}, {M_ACT}, {M_FAULT}, {M_MSF}, {m_cvc(grain, cvc_date)},
+keyed AS (SELECT DISTINCT state_territory, technology_type, rsp_id FROM m_act),
+facts AS (SELECT * FROM m_act UNION ALL BY NAME SELECT * FROM m_fault
+  UNION ALL BY NAME SELECT * FROM keyed JOIN m_msf USING (state_territory)
+  UNION ALL BY NAME SELECT * FROM keyed JOIN m_cvc_{grain} USING (state_territory)),
+report AS (SELECT '{RUN_DATE}' AS report_date, state_territory, technology_type, rsp_id, {each} FROM facts
+  GROUP BY state_territory, technology_type, rsp_id HAVING count(total_activations) > 0)"""
 
 
 @query("accc_metrics", f"WITH {report_ctes('state')} SELECT * FROM report")

@@ -151,11 +151,9 @@ def load_revenue_balanced(t: Tables) -> DataFrame:
 
 # --- compliance and infrastructure -----------------------------------------------------------
 
-SUBMISSION = f"""WITH {v.ACTIVATIONS}, {v.INCIDENTS}, {v.UTILISATION}, {core.M_ACT}, {core.M_FAULT}, {core.M_MSF}, {core.m_cvc('state', core.RUN_DATE)}
-SELECT '{core.RUN_DATE}' AS report_date, a.state_territory, a.technology_type, dense_rank() OVER (ORDER BY a.rsp_id) AS rsp_anon_id, total_activations,
-  sla_compliance_pct, total_faults, resolved_2bd, resolved_5bd, msf_event_count, total_affected_premises, congested_hours, peak_utilisation_pct
-FROM m_act a LEFT JOIN m_fault f ON f.state_territory = a.state_territory AND f.technology_type = a.technology_type AND f.rsp_id = a.rsp_id
-LEFT JOIN m_msf m ON m.state_territory = a.state_territory LEFT JOIN m_cvc_state c ON c.state_territory = a.state_territory"""
+SUBMITTED = [c for c in core.SUBMISSION_COLUMNS if c != "rsp_anon_id"]
+SUBMISSION = f"""WITH {core.report_ctes('state', core.RUN_DATE)}
+SELECT {', '.join(SUBMITTED)}, dense_rank() OVER (ORDER BY rsp_id) AS rsp_anon_id FROM report"""
 
 
 @query("load_regulatory_report", SUBMISSION)

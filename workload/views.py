@@ -447,15 +447,17 @@ def cabinet_ports(t: Tables) -> DataFrame:
     )
 
 
-PORTS = """splitters AS (
+PORTS = """port AS (SELECT DISTINCT l_suppkey, l_partkey, l_orderkey * 10 + l_linenumber AS id, l_returnflag AS state FROM lineitem),
+by_splitter AS (SELECT l_suppkey AS id, state, count(*) AS n FROM (SELECT DISTINCT l_suppkey, id, state FROM port) GROUP BY ALL),
+by_cabinet AS (SELECT l_partkey AS id, count(*) AS n FROM (SELECT DISTINCT l_partkey, id FROM port WHERE state = 'A') GROUP BY ALL),
+splitters AS (
   SELECT s_suppkey AS splitter_id, 400 + s_nationkey * 25 AS total_ports, s_nationkey AS state_territory,
-         count(DISTINCT CASE WHEN l_returnflag = 'A' THEN l_orderkey * 10 + l_linenumber END) AS active_ports,
-         count(DISTINCT CASE WHEN l_returnflag = 'R' THEN l_orderkey * 10 + l_linenumber END) AS reserved_ports
-  FROM supplier LEFT JOIN lineitem ON l_suppkey = s_suppkey WHERE s_acctbal > 0 GROUP BY 1, 2, 3),
+         coalesce(a.n, 0) AS active_ports, coalesce(r.n, 0) AS reserved_ports
+  FROM supplier LEFT JOIN by_splitter a ON a.id = s_suppkey AND a.state = 'A'
+  LEFT JOIN by_splitter r ON r.id = s_suppkey AND r.state = 'R' WHERE s_acctbal > 0),
 cabinets AS (
-  SELECT p_partkey AS rim_id, p_size AS total_dsl_ports, p_type AS state_territory,
-         count(DISTINCT CASE WHEN l_returnflag = 'A' THEN l_orderkey * 10 + l_linenumber END) AS active_dsl_ports
-  FROM part LEFT JOIN lineitem ON l_partkey = p_partkey GROUP BY 1, 2, 3),
+  SELECT p_partkey AS rim_id, p_size AS total_dsl_ports, p_type AS state_territory, coalesce(n, 0) AS active_dsl_ports
+  FROM part LEFT JOIN by_cabinet ON id = p_partkey),
 s_util AS (SELECT *, CAST(round(CAST(CAST(active_ports + reserved_ports AS DOUBLE) / NULLIF(total_ports, 0) * 100 AS DECIMAL(38,12)), 2) AS DOUBLE) AS utilisation_pct FROM splitters),
 c_util AS (SELECT *, CAST(round(CAST(CAST(active_dsl_ports AS DOUBLE) / NULLIF(total_dsl_ports, 0) * 100 AS DECIMAL(38,12)), 2) AS DOUBLE) AS utilisation_pct FROM cabinets)"""
 
