@@ -345,13 +345,43 @@ def load_clickstream(t: Tables) -> DataFrame:
 # --- the five specified feeds -----------------------------------------------------------------------------
 
 
-@query("load_crm", specs.CASES)
-def load_crm(t: Tables) -> DataFrame:
+def crm_outputs(t: Tables) -> dict[str, DataFrame]:
     contacts = t.customer.select(F.col("c_custkey").alias("sf_contact_id"), F.col("c_name").alias("email"), F.col("c_name").alias("phone"))
     deleted = t.customer.filter("c_acctbal < 0").select(F.col("c_custkey").alias("sf_account_id"))
-    out = crm.crm_load(specs.crm_accounts(t), specs.opportunities(t), specs.cases(t), specs.comments(t), specs.case_history(t),
-                       contacts, deleted, "staging")
-    return out["cases"].drop("last_modified_date")
+    return crm.crm_load(specs.crm_accounts(t), specs.opportunities(t), specs.cases(t), specs.comments(t), specs.case_history(t),
+                        contacts, deleted, "staging")
+
+
+@query("load_crm", specs.CASES)
+def load_crm(t: Tables) -> DataFrame:
+    return crm_outputs(t)["cases"].drop("last_modified_date")
+
+
+@query("load_crm_accounts", specs.ACCOUNTS_SQL)
+def load_crm_accounts(t: Tables) -> DataFrame:
+    return crm_outputs(t)["accounts"]
+
+
+@query("load_crm_contacts", f"SELECT c_custkey AS sf_contact_id, '{crm.CONTACT_MASKS['email']}' AS email, '{crm.CONTACT_MASKS['phone']}' AS phone FROM customer")
+def load_crm_contacts(t: Tables) -> DataFrame:
+    return crm_outputs(t)["contacts"]
+
+
+@query(
+    "load_crm_gate",
+    f"""WITH c AS (SELECT * FROM ({specs.CASES})), n AS (SELECT count(*) AS cases, count(*) FILTER (WHERE resolution_hours < 0) AS negative,
+  count(*) - count(DISTINCT sf_case_id) AS repeated FROM c)
+SELECT 'sf_cases.min_rows' AS "check", {D('cases')} AS observed, CAST(10 AS DOUBLE) AS threshold, cases >= 10 AS passed, 'fail' AS severity FROM n
+UNION ALL SELECT 'sf_cases.not_null.sf_account_id', 0.0, 0.0, true, 'fail'
+UNION ALL SELECT 'sf_cases.not_null.created_date', 0.0, 0.0, true, 'fail'
+UNION ALL SELECT 'sf_cases.value.resolution_hours', {D('negative')}, 0.0, negative = 0, 'warn' FROM n
+UNION ALL SELECT 'sf_cases.foreign_key.sf_account_id', (SELECT CAST(count(*) AS DOUBLE) FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)), 0.0,
+  NOT EXISTS (FROM orders WHERE o_custkey NOT IN (SELECT c_custkey FROM customer)), 'warn'
+UNION ALL SELECT 'sf_cases.unique.sf_case_id', {D('repeated')}, 0.0, repeated = 0, 'fail' FROM n""",
+)
+def load_crm_gate(t: Tables) -> DataFrame:
+    """The gate of the feed, as a report."""
+    return crm_outputs(t)["gate"]
 
 
 LEDGER_RECON = f"""WITH {specs.GL}, ar AS (SELECT strftime(o_orderdate, '%Y-%m') AS period_name, CASE o_orderstatus WHEN 'F' THEN 'A' WHEN 'O' THEN 'N' ELSE 'R' END AS invoice_type,
@@ -363,8 +393,7 @@ SELECT period_name, invoice_type, {D('a')} AS ar_total_invoiced, {D('g')} AS gl_
   coalesce(abs(gap / NULLIF(CAST(a AS DOUBLE), 0)) < 0.01, false) AS reconciled_flag FROM b"""
 
 
-@query("load_ledger", LEDGER_RECON)
-def load_ledger(t: Tables) -> DataFrame:
+def ledger_outputs(t: Tables) -> dict[str, DataFrame]:
     s = F.col("o_orderstatus")
     ar = t.orders.select(
         F.date_format("o_orderdate", "yyyy-MM").alias("period_name"),
@@ -376,7 +405,18 @@ def load_ledger(t: Tables) -> DataFrame:
     ap = t.lineitem.select(v.money("l_extendedprice").alias("invoice_amount"), v.money(v.net_price()).alias("amount_paid"), F.col("l_partkey").cast("string").alias("account_code"))
     categories = t.part.select(F.col("p_partkey").cast("string").alias("account_code"), F.col("p_type").alias("expense_category"))
     actuals = t.lineitem.select(v.money("l_extendedprice").alias("amount_aud"), (F.col("l_linestatus") == "F").alias("gl_posted"), (F.col("l_returnflag") == "R").alias("po_backed"))
-    return ledger.finance_load(specs.gl_source(t), specs.taxonomy(t), specs.periods(t), ar, ap, categories, actuals, "2001-01-01")["reconciliation"]
+    return ledger.finance_load(specs.gl_source(t), specs.taxonomy(t), specs.periods(t), ar, ap, categories, actuals, "2001-01-01")
+
+
+@query("load_ledger", LEDGER_RECON)
+def load_ledger(t: Tables) -> DataFrame:
+    return ledger_outputs(t)["reconciliation"]
+
+
+@query("load_ledger_lines", SQL["gl_lines"])
+def load_ledger_lines(t: Tables) -> DataFrame:
+    internal = ("accounted_dr", "closing_status", "je_category_name", "last_update_date", "segments", "status")
+    return ledger_outputs(t)["journal_lines"].drop(*internal)
 
 
 @query(
@@ -403,11 +443,20 @@ def payables(t: Tables) -> DataFrame:
     return out.select("l_orderkey", "l_linenumber", "amount_remaining", "payment_status", "expense_category", "transaction_type")
 
 
-@query("load_itsm", specs.BREACHES)
-def load_itsm(t: Tables) -> DataFrame:
+def itsm_outputs(t: Tables) -> dict[str, DataFrame]:
     slas = specs.itsm_slas(t).withColumns({"start_time": F.lit(None).cast("timestamp_ntz"), "end_time": F.lit(None).cast("timestamp_ntz"), "pause_duration_minutes": F.lit(0)})
     problems = t.customer.select(F.col("c_custkey").alias("snow_sys_id"))
-    return itsm.itsm_load(specs.itsm_incidents(t), slas, problems, specs.work_orders(t), specs.HOLIDAYS)["sla_breach_summary"]
+    return itsm.itsm_load(specs.itsm_incidents(t), slas, problems, specs.work_orders(t), specs.HOLIDAYS)
+
+
+@query("load_itsm", specs.BREACHES)
+def load_itsm(t: Tables) -> DataFrame:
+    return itsm_outputs(t)["sla_breach_summary"]
+
+
+@query("load_itsm_technicians", specs.TECH)
+def load_itsm_technicians(t: Tables) -> DataFrame:
+    return itsm_outputs(t)["technician_performance"]
 
 
 @query("load_assets", f"SELECT equipment_id, poi_id, asset_age_years, lifecycle_status, equipment_category, utilisation_p95_30d, latency_p95_30d, fault_count_90d, refresh_risk_score FROM ({specs.HEALTH}) JOIN (SELECT p_partkey AS e2, CASE WHEN p_size > 45 THEN 'Decommissioned' ELSE 'Active' END AS lifecycle_status, CASE WHEN p_type = 'ECONOMY' THEN 'UNKNOWN' ELSE upper(substring(p_type, 1, 1)) || lower(substring(p_type, 2)) END AS equipment_category FROM part) ON e2 = equipment_id")
@@ -426,7 +475,21 @@ SELECT response_date, programme_id, rsp_code, count(*) AS total_responses, count
 FROM cx_all GROUP BY GROUPING SETS ((response_date, programme_id, rsp_code), (response_date, programme_id))"""
 
 
+def experience_outputs(t: Tables) -> dict[str, DataFrame]:
+    inc = itsm.incidents_with_flags(specs.itsm_incidents(t), specs.itsm_slas(t))
+    return experience.cx_load(specs.cx_responses(t), specs.programmes(t), control.topics(t), inc, "2024-01-31")
+
+
 @query("load_experience", CX_DAILY)
 def load_experience(t: Tables) -> DataFrame:
-    inc = itsm.incidents_with_flags(specs.itsm_incidents(t), specs.itsm_slas(t))
-    return experience.cx_load(specs.cx_responses(t), specs.programmes(t), control.topics(t), inc, "2024-01-31")["nps_daily"]
+    return experience_outputs(t)["nps_daily"]
+
+
+@query("load_experience_topics", SQL["topic_scores"])
+def load_experience_topics(t: Tables) -> DataFrame:
+    return experience_outputs(t)["topics"]
+
+
+@query("load_experience_correlation", specs.CORRELATION)
+def load_experience_correlation(t: Tables) -> DataFrame:
+    return experience_outputs(t)["correlation"]
