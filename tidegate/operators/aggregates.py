@@ -355,7 +355,8 @@ def exact_percentile(df: DataFrame, by: Sequence[str], value: str, p: float, ali
 
     Counting equal values first means a group contributes one row per distinct
     value, not one per record. ``value`` must lie on a grid (whole minutes, two
-    decimals), which bounds the histogram whatever the row count.
+    decimals), which bounds the histogram whatever the row count. For other values there
+    is ``selection.percentiles_by_rank``.
     """
     histogram = df.filter(F.col(value).isNotNull()).groupBy(*by, value).agg(F.count("*").alias("_n"))
     return histogram.groupBy(*by).agg(round_dec(F.percentile(F.col(value).cast("double"), p, F.col("_n")), 4).alias(alias))

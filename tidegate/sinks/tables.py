@@ -137,6 +137,9 @@ def merge_into(
     key today. The second set is found by scanning key and partition columns
     only; it is not needed at all when the partition column is part of the key.
     The partition filter then prunes the rewrite to the touched ones.
+
+    A partition that the batch leaves empty is removed after the others are written: a job lost in between
+    shows its moved keys twice until the merge is run again, which ends it.
     """
     # The batch is read to find partitions, to find matches and to write, so it
     # is kept; lost pieces are computed again from the source.

@@ -61,6 +61,22 @@ def dedupe_stream(df: DataFrame, keys: Sequence[str], ts: str, delay: str = "1 h
     return df.withWatermark(ts, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+def read_drops(
+    spark: SparkSession, folder: str, fmt: str, schema: str, archive: str | None = None, per_trigger: int = 1000,
+    options: dict[str, str] | None = None,
+) -> DataFrame:
+    """Files dropped into ``folder``, each taken once: the checkpoint of the drain knows which were seen.
+
+    With ``archive`` a file moves there, under its whole path, once the batch after its own has been
+    planned, so the folder does not grow; ``archive`` must lie outside ``folder``. A file that is delivered again under a
+    name already seen is not read again.
+    """
+    reader = spark.readStream.format(fmt).schema(as_struct(schema)).options(**options or {}).option("maxFilesPerTrigger", per_trigger)
+    if archive is not None:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive)
+    return reader.load(folder)
+
+
 def drain(
     df: DataFrame, handle: Callable[[DataFrame, int], None], checkpoint: str | None = None, mode: str = "append"
 ) -> StreamingQuery:

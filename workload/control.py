@@ -520,3 +520,16 @@ def survey_fault_stream(t: Tables) -> DataFrame:
     out = t.scratch("pairs")
     jobs.drain(pairs, jobs.append_sink(out))
     return t.spark.read.parquet(out).filter(F.col("response_id") != CLOSING).select("response_id", "service_id", "responded_at", "incident_id", "opened_at")
+
+
+@query("drops_once", "SELECT event_id, event_type, 1 AS loads FROM events")
+def drops_once(t: Tables) -> DataFrame:
+    """Drops of JSON files arrive in two rounds and are drained four times; every event is loaded once."""
+    folder, archive, checkpoint, out = (t.scratch(x) for x in ("drops", "archive", "drop-check", "loaded"))
+    early = F.col("event_id") % 3 == 0
+    for part in (early, ~early):
+        t.events.filter(part).select("event_id", "event_type").repartition(3).write.mode("append").json(folder)
+        for _ in range(2):
+            drops = jobs.read_drops(t.spark, folder, "json", "event_id long, event_type string", archive, 2)
+            jobs.drain(drops, jobs.append_sink(out), checkpoint)
+    return t.spark.read.parquet(out).groupBy("event_id", "event_type").agg(F.count("*").cast("int").alias("loads"))
