@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidegate.functions.times import in_window
 from tidegate.operators import incremental as inc
-from tidegate.operators import keys, merge
+from tidegate.operators import bitmaps, keys, merge
 from tidegate.operators.aggregates import nps_daily, topic_averages
 from tidegate.operators.joins import orphans, with_manager
 from tidegate.operators.quality import Gate
@@ -533,3 +533,21 @@ def drops_once(t: Tables) -> DataFrame:
             drops = jobs.read_drops(t.spark, folder, "json", "event_id long, event_type string", archive, 2)
             jobs.drain(drops, jobs.append_sink(out), checkpoint)
     return t.spark.read.parquet(out).groupBy("event_id", "event_type").agg(F.count("*").cast("int").alias("loads"))
+
+
+@query(
+    "distinct_users_trailing",
+    """WITH f AS (SELECT event_type, CAST(ts AS DATE) AS d, user_id FROM events),
+days AS (SELECT DISTINCT event_type, CAST(d + CAST(k AS INTEGER) AS DATE) AS as_of FROM f, unnest(generate_series(0, 6)) AS s(k))
+SELECT days.event_type, CAST(as_of AS VARCHAR) AS as_of, count(DISTINCT user_id) AS users FROM days
+JOIN f ON f.event_type = days.event_type AND f.d BETWEEN as_of - 6 AND as_of WHERE as_of <= DATE '2024-02-05' GROUP BY ALL""",
+)
+def distinct_users_trailing(t: Tables) -> DataFrame:
+    """Users of the last seven days, every day, from a mart of bitmaps whose newest days are loaded last and twice."""
+    path = t.scratch("bitmaps")
+    facts = t.events.select("event_type", "user_id", F.to_date("ts").alias("day"))
+    cut = dt.date(2024, 1, 20)
+    for part in (F.col("day") < cut, F.col("day") >= cut, F.col("day") >= cut):
+        tables.overwrite_partitions(bitmaps.daily_bitmaps(facts.filter(part), ["event_type"], "day", "user_id"), path, ["day"])
+    mart = tables.read_partitioned(t.spark, path, facts.schema["day"])
+    return bitmaps.trailing_counts(mart, ["event_type"], "day", 7, "2024-02-05", "users")
