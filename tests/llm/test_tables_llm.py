@@ -1,9 +1,12 @@
 """URL filter, packing, mixing and web archives against plain forms and round trips."""
 
+import gzip
 import hashlib
 import random
+import re
 import zipfile
 import zlib
+from datetime import datetime
 from io import BytesIO
 
 import brute
@@ -240,3 +243,44 @@ def test_archives(spark, monkeypatch):
         )
         assert sorted((r.page_id or 0, r.payload_bytes, r.payload_digest, r.record_type, r.refers_to or 0) for r in got) == want
     assert warc_packages.archived(spark, pages.limit(0)).count() == 0
+
+
+def test_records_by_the_standard(spark, tmp_path):
+    """A strict reader of WARC 1.1: mandatory fields, their forms, unique ids, revisits that name their response."""
+    long = "x" * 1500
+    rows = [(1, "http://a/ü b<c>?q=1%20#f", long), (2, None, long), (2, "", "short"), (3, "http://b/", long), (4, "http://c/\r\nX-Evil: 1", "y" * 1200),
+            (5, "http://d/", "y" * 1200), (5, "http://d/", "y" * 1200), (5, "http://d/", None), (None, "http://e/", long)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    made = warc_packages.write_packages(pages, f"file://{tmp_path}/w", date=datetime(2024, 2, 29, 23, 59, 58)).collect()
+    records = []
+    for row in made:
+        with zipfile.ZipFile(row.package.removeprefix("file://")) as z:
+            plain = gzip.decompress(z.read(warc_packages.ARCHIVE))
+        while plain:
+            head, _, rest = plain.partition(b"\r\n\r\n")
+            first, *lines = head.decode().split("\r\n")
+            pairs = [line.split(": ", 1) for line in lines]
+            fields = dict(pairs)
+            assert first == "WARC/1.1" and len(fields) == len(pairs)
+            n = int(fields["Content-Length"])
+            assert rest[n : n + 4] == b"\r\n\r\n"
+            records.append((fields, rest[:n]))
+            plain = rest[n + 4 :]
+    assert len(records) == len(rows) == sum(r.records for r in made)
+    by_id = {f["WARC-Record-ID"]: f for f, _ in records}
+    assert len(by_id) == len(rows) and all(re.fullmatch("<urn:uuid:[0-9a-f-]{36}>", i) for i in by_id)
+    for f, block in records:
+        assert f["WARC-Date"] == "2024-02-29T23:59:58Z"
+        assert re.fullmatch(r"[A-Za-z][A-Za-z0-9+.-]*:[A-Za-z0-9%:/?#\[\]@!$&'()*+,;=._~-]+", f["WARC-Target-URI"])
+        body = block.partition(b"\r\n\r\n")[2]
+        if f["WARC-Type"] == "response":
+            assert f["WARC-Payload-Digest"] == "sha1:" + hashlib.sha1(body).hexdigest() and "WARC-Profile" not in f
+            continue
+        assert f["WARC-Type"] == "revisit" and not body and f["WARC-Profile"].endswith("/revisit/identical-payload-digest")
+        named = [g for g in by_id.values() if g.get("Page-ID") == f["Refers-To-Page-ID"] and g["WARC-Payload-Digest"] == f["WARC-Payload-Digest"]]
+        assert {(g["WARC-Type"], g["WARC-Target-URI"], g["WARC-Date"]) for g in named} == {
+            ("response", f["WARC-Refers-To-Target-URI"], f["WARC-Refers-To-Date"])
+        }
+        assert ("WARC-Refers-To" in f) == (len(named) == 1)
+        assert "WARC-Refers-To" not in f or by_id[f["WARC-Refers-To"]] is named[0]
+    assert sorted(f.get("Page-ID", "") for f, _ in records if f["WARC-Type"] == "revisit") == ["", "1", "2", "4"]

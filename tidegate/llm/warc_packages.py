@@ -9,6 +9,12 @@ index, and then only the ranges of the records; nothing is extracted.
 Equal payloads of ``least`` bytes or more are written once: the record with the
 largest id is the response, the others are revisits that name it.
 
+Records carry what WARC 1.1 asks of them: type, date, an id of their own and a target;
+a revisit its profile and the target and date of its response. Page ids stand in fields
+of our own (``Page-ID``, ``Refers-To-Page-ID``). A record's id follows from page id and
+digest, so a revisit can name its response's; rows that repeat both get random ids, and
+a revisit of such a response names it by target and date alone.
+
 Files go through ``pyarrow.fs``, so a package may lie on any store that it knows. A
 task writes under a name of its own; only packages that the finished job reports are
 read, so an attempt that died leaves nothing behind that counts.
@@ -16,11 +22,14 @@ read, so an attempt that died leaves nothing behind that counts.
 Defined cases: null html is an empty payload; payloads below ``least`` are always
 responses; repeated rows of one id each get a record, and the first of them (by url)
 is the response where it has the largest id; a row without id is never referred to;
-an empty table writes no package; other columns are not looked at.
+a null or empty url has the target ``about:invalid`` and is null when read back; what no
+URI may hold is percent-encoded; an empty table writes no package; other columns are not
+looked at.
 """
 
 from __future__ import annotations
 
+import datetime as dt
 import gzip
 import hashlib
 import json
@@ -29,6 +38,7 @@ import uuid
 import zlib
 from collections.abc import Iterable, Iterator
 from io import BytesIO
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.fs
@@ -152,19 +162,45 @@ def member(file, entry: tuple[int, int, int]) -> tuple[int, int]:
 # --- records ---------------------------------------------------------------------
 
 
-def record(page_id: int | None, url: str | None, payload: bytes, refers_to: int | None, digest: str) -> bytes:
-    """One WARC record as a gzip member; a revisit has no payload of its own."""
-    kind = "response" if refers_to is None else "revisit"
-    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + (payload if refers_to is None else b"")
+NO_TARGET = "about:invalid"
+# What RFC 3986 allows in a URI beside letters and digits, and the standard's name for equal payloads.
+URI_MARKS = "%:/?#[]@!$&'()*+,;=-._~"
+PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
+
+
+def target(url: str | None) -> str:
+    return quote(url, safe=URI_MARKS) if url else NO_TARGET
+
+
+def record_id(page_id: int | None, digest: str, unique: bool) -> str:
+    """An id that follows from page and payload where no other record has both."""
+    name = uuid.uuid5(uuid.NAMESPACE_URL, f"page:{page_id}:{digest}") if unique else uuid.uuid4()
+    return f"<urn:uuid:{name}>"
+
+
+def record(page: dict, payload: bytes, digest: str, date: str) -> bytes:
+    """One WARC record as a gzip member; a revisit (``refers_to`` is set) has no payload of its own."""
+    refers = page["refers_to"]
+    block = b"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n" + (payload if refers is None else b"")
     fields = [
-        ("WARC-Type", kind),
-        ("WARC-Record-ID", f"<urn:page:{'' if page_id is None else page_id}>"),
-        ("WARC-Target-URI", (url or "").replace("\r", "%0D").replace("\n", "%0A")),
+        ("WARC-Type", "response" if refers is None else "revisit"),
+        ("WARC-Record-ID", record_id(page["page_id"], digest, not page["repeats"])),
+        ("WARC-Date", date),
+        ("WARC-Target-URI", target(page["url"])),
         ("WARC-Payload-Digest", f"sha1:{digest}"),
-        *([("WARC-Refers-To", f"<urn:page:{refers_to}>")] if refers_to is not None else []),
-        ("Content-Type", "application/http; msgtype=response"),
-        ("Content-Length", str(len(block))),
     ]
+    if page["page_id"] is not None:
+        fields.append(("Page-ID", str(page["page_id"])))
+    if refers is not None:
+        fields += [
+            ("WARC-Profile", PROFILE),
+            ("WARC-Refers-To-Target-URI", target(page["refers_to_url"])),
+            ("WARC-Refers-To-Date", date),
+            ("Refers-To-Page-ID", str(refers)),
+        ]
+        if page["refers_to_one"]:
+            fields.append(("WARC-Refers-To", record_id(refers, digest, True)))
+    fields += [("Content-Type", "application/http; msgtype=response"), ("Content-Length", str(len(block)))]
     head = "WARC/1.1\r\n" + "".join(f"{k}: {v}\r\n" for k, v in fields) + "\r\n"
     return gzip.compress(head.encode() + block + b"\r\n\r\n", compresslevel=1, mtime=0)
 
@@ -184,7 +220,10 @@ def _place(uri: str) -> tuple[pyarrow.fs.FileSystem, str]:
     return pyarrow.fs.FileSystem.from_uri(uri if "://" in uri or uri.startswith("file:") else f"file://{uri}")
 
 
-def _write(folder: str, package_bytes: int):
+PLANNED = ("page_id", "url", "html", "refers_to", "refers_to_url", "refers_to_one", "repeats")
+
+
+def _write(folder: str, package_bytes: int, date: str):
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         store, root = _place(folder)
         warc, index = BytesIO(), []
@@ -203,10 +242,10 @@ def _write(folder: str, package_bytes: int):
             return pa.RecordBatch.from_pydict(row)
 
         for batch in batches:
-            for page, url, html, refers in zip(*[batch[c].to_pylist() for c in ("page_id", "url", "html", "refers_to")],
-                                               strict=True):
-                payload = (html or "").encode()
-                data = record(page, url, payload, refers, hashlib.sha1(payload).hexdigest())
+            for values in zip(*[batch[c].to_pylist() for c in PLANNED], strict=True):
+                page = dict(zip(PLANNED, values, strict=True))
+                payload = (page.pop("html") or "").encode()
+                data = record(page, payload, hashlib.sha1(payload).hexdigest(), date)
                 index.append({"offset": warc.tell(), "length": len(data)})
                 warc.write(data)
                 if warc.tell() >= package_bytes:
@@ -217,26 +256,42 @@ def _write(folder: str, package_bytes: int):
     return work
 
 
-def write_packages(pages: DataFrame, folder: str, least: int = LEAST_BYTES) -> DataFrame:
-    """Writes ``pages`` (page_id, url, html) as packages below ``folder``: package, bytes, records."""
+def write_packages(pages: DataFrame, folder: str, least: int = LEAST_BYTES, date: dt.datetime | None = None) -> DataFrame:
+    """Writes ``pages`` (page_id, url, html) as packages below ``folder``: package, bytes, records.
+
+    ``date`` (UTC; default: now) is the capture time of all records.
+    """
     html = F.coalesce("html", F.lit(""))
-    payloads = pages.select("page_id", F.sha1(html.cast("binary")).alias("digest"), F.octet_length(html).alias("n"))
-    large = payloads.filter(F.col("n") >= least)
-    latest = large.groupBy("digest").agg(F.max("page_id").alias("refers_to"), F.count("*").alias("copies"))
-    revisits = (
-        large.join(latest.filter("copies > 1 AND refers_to IS NOT NULL"), "digest")
-        .filter(~F.col("page_id").eqNullSafe(F.col("refers_to")))
-        .select("page_id", "digest", "refers_to").distinct()
+    digest = F.sha1(html.cast("binary"))
+    # Payloads stay out of this: one row per page and digest, then one per digest.
+    payloads = pages.select("page_id", "url", digest.alias("digest"), F.octet_length(html).alias("n")).groupBy(
+        "page_id", "digest").agg(F.min("url").alias("url"), F.max("n").alias("n"), F.count("*").alias("rows"))
+    latest = (
+        payloads.filter((F.col("n") >= least) & F.col("page_id").isNotNull())
+        .groupBy("digest").agg(F.max(F.struct("page_id", "url", "rows")).alias("last"))
+    )
+    last, own = F.col("last.page_id"), F.col("n") >= least
+    is_revisit = F.coalesce(own & ~F.col("page_id").eqNullSafe(last) & last.isNotNull(), F.lit(False))
+    # Only what differs from a plain response is joined to the pages.
+    marks = (
+        payloads.join(latest, "digest", "left")
+        .filter(is_revisit | (F.col("rows") > 1))
+        .select(
+            F.col("page_id").alias("marked"), F.col("digest"), (F.col("rows") > 1).alias("more"),
+            F.when(is_revisit, last).alias("refers_to"), F.when(is_revisit, F.col("last.url")).alias("refers_to_url"),
+            (F.col("last.rows") == 1).alias("one"),
+        )
     )
-    known, mine = revisits.page_id, F.col("p.page_id")
     planned = (
         pages.select("page_id", "url", "html").alias("p")
-        .join(revisits, mine.eqNullSafe(known) & (F.sha1(html.cast("binary")) == F.col("digest")), "left")
-        .select("p.page_id", "p.url", "p.html", "refers_to")
+        .join(marks.alias("m"), F.col("p.page_id").eqNullSafe(F.col("marked")) & (digest == F.col("m.digest")), "left")
+        .select("p.page_id", "p.url", "p.html", "refers_to", "refers_to_url", F.coalesce("one", F.lit(False)).alias("refers_to_one"),
+                F.coalesce("more", F.lit(False)).alias("repeats"))
     )
+    stamp = (date or dt.datetime.now(dt.UTC)).strftime("%Y-%m-%dT%H:%M:%SZ")
     store, root = _place(folder)
     store.create_dir(root, recursive=True)
-    return stored(planned.mapInArrow(_write(folder, PACKAGE_BYTES), "package string, bytes long, records long"),
+    return stored(planned.mapInArrow(_write(folder, PACKAGE_BYTES, stamp), "package string, bytes long, records long"),
                   "warc-manifest")
 
 
@@ -268,9 +323,8 @@ def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("record_type", pa.string()),
                         ("refers_to", pa.int64()), ("payload_digest", pa.string()), ("payload", pa.binary())])
 
-    def page(uri: str | None) -> int | None:
-        digits = (uri or "").removeprefix("<urn:page:").removesuffix(">")
-        return int(digits) if digits else None
+    def number(text: str | None) -> int | None:
+        return int(text) if text is not None else None
 
     for batch in batches:
         for package, at, lengths in zip(*[batch[c].to_pylist() for c in ("package", "at", "lengths")], strict=True):
@@ -286,9 +340,10 @@ def _records(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 digest = fields["WARC-Payload-Digest"].removeprefix("sha1:")
                 if not revisit and hashlib.sha1(payload).hexdigest() != digest:
                     raise ValueError(f"damaged payload in {package}")
-                for k, v in zip(names, (page(fields["WARC-Record-ID"]), fields["WARC-Target-URI"], fields["WARC-Type"],
-                                        page(fields.get("WARC-Refers-To")), digest, None if revisit else payload),
-                                strict=True):
+                uri = fields["WARC-Target-URI"]
+                values = (number(fields.get("Page-ID")), None if uri == NO_TARGET else uri, fields["WARC-Type"],
+                          number(fields.get("Refers-To-Page-ID")), digest, None if revisit else payload)
+                for k, v in zip(names, values, strict=True):
                     out[k].append(v)
             yield pa.RecordBatch.from_pydict(out, schema=schema)
 
