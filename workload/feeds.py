@@ -1,4 +1,4 @@
-"""The further outputs of the service, asset and finance feeds, each evaluated through the whole load."""
+"""The further outputs of the service, asset, finance and customer feeds, each evaluated through the whole load."""
 
 from __future__ import annotations
 
@@ -155,3 +155,11 @@ def load_ledger_payables(t: Tables) -> DataFrame:
 )
 def load_ledger_actuals(t: Tables) -> DataFrame:
     return loads.ledger_outputs(t)["project_actuals"]
+
+
+# --- customers ---------------------------------------------------------------------------
+
+
+@query("load_crm_opportunities", SQL["recurring_revenue"])
+def load_crm_opportunities(t: Tables) -> DataFrame:
+    return loads.crm_outputs(t)["opportunities"].select("sf_opportunity_id", "mrr_aud", "arr_aud")
