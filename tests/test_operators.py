@@ -175,3 +175,29 @@ def test_node_first_attribute_ignores_nulls(rows):
     r = agg.scored_nodes(agg.node_hour(df)).first()
     assert (r["node_type"], r["poi_id"], r["state_territory"], float(r["availability_pct"]), r["sample_count"], r["mem_utilisation_pct"]) == ("OLT", "q", None, 50.0, 2, None)
     assert r["health_score"] == 45 and r["health_status"] == "WARNING"
+
+
+def test_report_from_one_frame_or_two(rows):
+    day = dt.date(2024, 1, 8)
+    t = lambda n: dt.datetime(2024, 1, n)
+    both = rows(
+        "state_territory string, technology_type string, rsp_id int, run_date date, status string, sla_met boolean,"
+        " days_to_activate decimal(38,2), opened_at timestamp, resolved_at timestamp, premises_count long, msf_ever boolean",
+        ("N", "F", 1, day, "ACTIVE", True, 1, t(2), t(3), 10, False),
+        ("N", "F", 1, day, "ACTIVE", None, None, t(3), None, 5000, True),  # no verdict, an open mass failure
+        ("N", "F", 2, day, "PENDING", None, None, t(4), t(7), 3000, True),  # counts for the state, not reported
+        ("N", "W", 3, day, "ACTIVE", False, 9, None, None, None, None),  # no incident of its own
+        ("V", "F", 1, dt.date(2023, 12, 1), "ACTIVE", True, 1, t(2), t(3), 10, False),  # out of the week
+        (None, "F", 1, day, "ACTIVE", True, 2, t(2), t(3), 9000, True),
+    )
+    congestion = rows("state_territory string, congested_hours long, peak_utilisation_pct double", ("N", 4, 91.5))
+    got = agg.regulatory_metrics(both, congestion, "2024-01-08")
+    keep = ["state_territory", "rsp_id", "total_activations", "sla_met_count", "total_faults", "resolved_2bd", "msf_event_count",
+            "total_affected_premises", "congested_hours"]
+    assert tuples(got.select(keep), "rsp_id", F.col("state_territory").desc()) == [
+        ("N", 1, 2, 1, 1, 1, 2, 8000, 4),
+        (None, 1, 1, 1, 1, 1, None, None, None),
+        ("N", 3, 1, 0, None, None, 2, 8000, 4),
+    ]
+    apart = agg.regulatory_metrics(agg.report_facts(both, both), congestion, "2024-01-08")
+    assert sorted(map(str, apart.collect())) == sorted(map(str, got.collect()))

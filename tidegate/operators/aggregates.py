@@ -215,15 +215,37 @@ REPORT_COLUMNS = (
 )
 
 
-def incident_rollup(incidents: DataFrame, run_date) -> DataFrame:
-    """Fault and mass-failure counts of the week per state, technology and RSP, in one pass over the incidents."""
+# What the report asks of an activation and of an incident, beside state, technology and RSP.
+ACTIVATION_FACTS = ("run_date", "status", "sla_met", "days_to_activate")
+INCIDENT_FACTS = ("opened_at", "resolved_at", "premises_count", "msf_ever")
+REPORT_KEYS = ("state_territory", "technology_type", "rsp_id")
+
+
+def report_facts(activations: DataFrame, incidents: DataFrame) -> DataFrame:
+    """Two sources as rows of one frame, each with the other's columns null."""
+    a, i = activations.select(*REPORT_KEYS, *ACTIVATION_FACTS), incidents.select(*REPORT_KEYS, *INCIDENT_FACTS)
+    return a.unionByName(i, allowMissingColumns=True)
+
+
+def report_rollup(facts: DataFrame, run_date) -> DataFrame:
+    """Activations, faults and mass failures of the week per state, technology and RSP, in one aggregation.
+
+    A row of ``facts`` may be an activation, an incident, or both where one record
+    serves as both; it then is read once.
+    """
     days = boundary_diff("day", "opened_at", "resolved_at")
+    active = F.coalesce(trailing_week("run_date", run_date) & (F.col("status") == "ACTIVE"), F.lit(False))
     fault = F.coalesce(trailing_week("resolved_at", run_date), F.lit(False))
     mass = F.coalesce(F.col("msf_ever") & trailing_week("opened_at", run_date), F.lit(False))
+    met = active & F.col("sla_met")
     return (
-        incidents.filter(fault | mass)
-        .groupBy("state_territory", "technology_type", "rsp_id")
+        facts.filter(active | fault | mass)
+        .groupBy(*REPORT_KEYS)
         .agg(
+            count_when(active).alias("total_activations"),
+            count_when(met).alias("sla_met_count"),
+            percent(count_when(met), count_when(active)).alias("sla_compliance_pct"),
+            mean(F.when(active, F.col("days_to_activate")), 2).alias("avg_days_to_activate"),
             count_when(fault).alias("total_faults"),
             *[count_when(fault & (days <= n)).alias(f"resolved_{n}bd") for n in (2, 5, 20)],
             count_when(mass).alias("_events"),
@@ -232,22 +254,22 @@ def incident_rollup(incidents: DataFrame, run_date) -> DataFrame:
     )
 
 
-def regulatory_metrics(activations: DataFrame, incidents: DataFrame, congestion: DataFrame, run_date) -> DataFrame:
-    """The report: activations with their faults, and the state's mass failures and congestion.
+def regulatory_metrics(facts: DataFrame, congestion: DataFrame, run_date) -> DataFrame:
+    """The report: groups with activations, their faults, and the state's mass failures and congestion.
 
-    ``activations`` and ``congestion`` are rolled up already. Mass failures of a state
-    also count where a group has faults or failures but no activation, so the two
-    rollups meet in a full join before the state's sum is taken over them.
+    ``facts`` holds activations and incidents (``report_facts``, or records that are
+    both); ``congestion`` is rolled up already. Mass failures of a state also count
+    where a group has faults or failures but no activation, so groups without
+    activations leave only after the state's sum is taken.
     """
-    by = ["state_territory", "technology_type", "rsp_id"]
-    both = activations.withColumn("_reported", F.lit(True)).join(incident_rollup(incidents, run_date), by, "full_outer")
     state = Window.partitionBy("state_territory")
     any_mass = F.col("state_territory").isNotNull() & (F.sum("_events").over(state) > 0)
     any_fault = F.col("total_faults") > 0
     return (
-        both.withColumn("msf_event_count", F.when(any_mass, F.sum("_events").over(state)))
+        report_rollup(facts, run_date)
+        .withColumn("msf_event_count", F.when(any_mass, F.sum("_events").over(state)))
         .withColumn("total_affected_premises", F.when(any_mass, F.sum("_premises").over(state)))
-        .filter("_reported")
+        .filter("total_activations > 0")
         .withColumns({c: F.when(any_fault, F.col(c)) for c in ("resolved_2bd", "resolved_5bd", "resolved_20bd")})
         .withColumn("total_faults", F.when(any_fault, F.col("total_faults")))
         .join(congestion, "state_territory", "left")

@@ -4,11 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 
-from tidegate.operators.aggregates import (
-    activation_metrics,
-    congestion_metrics,
-    regulatory_metrics,
-)
+from tidegate.operators.aggregates import congestion_metrics, regulatory_metrics
 from tidegate.operators.keys import anonymise
 from tidegate.session import cut_lineage
 
@@ -20,15 +16,9 @@ SUBMISSION_COLUMNS = (
 )
 
 
-def regulatory_report(
-    activations: DataFrame, incidents: DataFrame, utilisation: DataFrame, poi: DataFrame, run_date
-) -> dict[str, DataFrame]:
-    metrics = regulatory_metrics(
-        activation_metrics(activations, run_date),
-        incidents,
-        congestion_metrics(utilisation, poi, run_date),
-        run_date,
-    )
-    # The submission reads the finished report, so the four rollups run once.
+def regulatory_report(facts: DataFrame, utilisation: DataFrame, poi: DataFrame, run_date) -> dict[str, DataFrame]:
+    """``facts``: the activations and incidents, see ``regulatory_metrics``."""
+    metrics = regulatory_metrics(facts, congestion_metrics(utilisation, poi, run_date), run_date)
+    # The submission reads the finished report, so the rollups run once.
     metrics = cut_lineage(metrics)
     return {"metrics": metrics, "submission": anonymise(metrics, "rsp_id", "rsp_anon_id").select(*SUBMISSION_COLUMNS)}

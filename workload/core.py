@@ -66,8 +66,12 @@ def activations_incremental(t: Tables) -> DataFrame:
     return incremental_activations(v.activations(t), ACT_DATE).drop("customer_segment")
 
 
+def rated(activations: DataFrame) -> DataFrame:
+    return with_sla(activations).withColumn("run_date", F.to_date("activation_completed_at"))
+
+
 def sla_frame(t: Tables) -> DataFrame:
-    return with_sla(v.activations(t)).withColumn("run_date", F.to_date("activation_completed_at"))
+    return rated(v.activations(t))
 
 
 SLA_COLS = f"{ACT_COLS}, customer_segment, status, {DAY('run_date')} AS run_date, {D('days_to_activate')} AS days_to_activate, sla_met"
@@ -167,8 +171,7 @@ def congestion_metrics(t: Tables) -> DataFrame:
 
 def regulatory(t: Tables) -> DataFrame:
     return agg.regulatory_metrics(
-        agg.activation_metrics(sla_frame(t), RUN_DATE),
-        v.incidents(t),
+        rated(v.activated_and_faulty(t)),
         # The traffic is from another year than the orders, so it has its own week.
         agg.congestion_metrics(utilisation(t), poi_registry(t), CVC_DATE),
         RUN_DATE,

@@ -158,7 +158,7 @@ SELECT {', '.join(SUBMITTED)}, dense_rank() OVER (ORDER BY rsp_id) AS rsp_anon_i
 
 @query("load_regulatory_report", SUBMISSION)
 def load_regulatory_report(t: Tables) -> DataFrame:
-    return compliance.regulatory_report(core.sla_frame(t), v.incidents(t), core.utilisation(t), core.poi_registry(t), core.RUN_DATE)["submission"]
+    return compliance.regulatory_report(core.rated(v.activated_and_faulty(t)), core.utilisation(t), core.poi_registry(t), core.RUN_DATE)["submission"]
 
 
 @query("load_node_health", core.ALERTS)

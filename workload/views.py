@@ -83,25 +83,29 @@ SHIPPED = """shipped AS (
   GROUP BY ALL)"""
 
 
-def activations(t: Tables) -> DataFrame:
+def owned_orders(t: Tables) -> DataFrame:
+    return shipped_orders(t).join(accounts(t), F.col("o_custkey") == F.col("c_custkey"))
+
+
+def _as_activation() -> list[Column]:
     p, s = F.col("o_orderpriority"), F.col("o_orderstatus")
-    return (
-        shipped_orders(t)
-        .join(accounts(t), F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("o_orderkey").alias("order_id"),
-            F.col("o_custkey").alias("service_id"),
-            F.col("c_nationkey").alias("rsp_id"),
-            F.col("n_name").alias("rsp_name"),
-            F.col("c_mktsegment").alias("technology_type"),
-            F.lower("c_mktsegment").alias("customer_segment"),
-            F.when(p == "1-URGENT", "Priority").when(p == "2-HIGH", "Business").otherwise("Residential").alias("order_priority"),
-            F.col("o_orderdate").alias("order_created_at"),
-            F.col("done_at").alias("activation_completed_at"),
-            F.when(s == "F", "ACT").when(s == "O", "PND").when(s == "P", "PRG").alias("status_code"),
-            F.col("r_name").alias("state_territory"),
-        )
-    )
+    return [
+        F.col("o_orderkey").alias("order_id"),
+        F.col("o_custkey").alias("service_id"),
+        F.col("c_nationkey").alias("rsp_id"),
+        F.col("n_name").alias("rsp_name"),
+        F.col("c_mktsegment").alias("technology_type"),
+        F.lower("c_mktsegment").alias("customer_segment"),
+        F.when(p == "1-URGENT", "Priority").when(p == "2-HIGH", "Business").otherwise("Residential").alias("order_priority"),
+        F.col("o_orderdate").alias("order_created_at"),
+        F.col("done_at").alias("activation_completed_at"),
+        F.when(s == "F", "ACT").when(s == "O", "PND").when(s == "P", "PRG").alias("status_code"),
+        F.col("r_name").alias("state_territory"),
+    ]
+
+
+def activations(t: Tables) -> DataFrame:
+    return owned_orders(t).select(*_as_activation())
 
 
 ACTIVATIONS = f"""{ACCOUNTS}, {SHIPPED}, activations AS (
@@ -125,25 +129,32 @@ sla AS (
 # --- incidents: the same orders seen as faults ---------------------------------------
 
 
+def _fault() -> list[Column]:
+    premises = F.floor("o_totalprice")
+    return [
+        F.col("o_orderdate").alias("opened_at"),
+        F.when(F.col("o_orderstatus") != "O", F.col("done_at")).alias("resolved_at"),
+        premises.alias("premises_count"),
+        (premises >= 2500).alias("msf_ever"),
+    ]
+
+
 def incidents(t: Tables) -> DataFrame:
-    s = F.col("o_orderstatus")
-    return (
-        shipped_orders(t)
-        .join(accounts(t), F.col("o_custkey") == F.col("c_custkey"))
-        .select(
-            F.col("o_orderkey").alias("sys_id"),
-            F.col("o_orderdate").alias("opened_at"),
-            F.when(s != "O", F.col("done_at")).alias("resolved_at"),
-            F.floor("o_totalprice").alias("premises_count"),
-            F.col("o_custkey").alias("affected_poi_id"),
-            F.col("c_nationkey").alias("rsp_id"),
-            F.col("c_mktsegment").alias("technology_type"),
-            F.col("r_name").alias("state_territory"),
-        )
-        .withColumn("msf_ever", F.col("premises_count") >= 2500)
+    return owned_orders(t).select(
+        F.col("o_orderkey").alias("sys_id"),
+        F.col("o_custkey").alias("affected_poi_id"),
+        F.col("c_nationkey").alias("rsp_id"),
+        F.col("c_mktsegment").alias("technology_type"),
+        F.col("r_name").alias("state_territory"),
+        *_fault(),
     )
 
 
+def activated_and_faulty(t: Tables) -> DataFrame:
+    """Every order as an activation and as an incident, in one row."""
+    return owned_orders(t).select(*_as_activation(), *_fault())
+
+
 INCIDENTS = """incidents AS (
   SELECT o_orderkey AS sys_id, o_orderdate AS opened_at,
          CASE WHEN o_orderstatus <> 'O' THEN done_at END AS resolved_at,
