@@ -179,6 +179,41 @@ def test_mixing(spark):
     assert sorted(map(str, again)) == sorted(map(str, got))
     assert mixing.mix(docs.limit(0)).count() == 0
 
+    # Block by block: the seat of every block of a source's ring says which shard its words are in.
+    order = [i for _, i in sorted((-t / (2 * j - 1), i) for i, t in enumerate(target) if t for j in range(1, quota[i] + 1))]
+    shard_of = {s: [seat // 64 for seat, i in enumerate(order) if names[i] == s] for s in names}
+    ring = {s: [] for s in names}
+    key = lambda r: (hashlib.md5(f"0:{r[0]}".encode() if r[0] is not None else b"0").hexdigest()[:15], r[0] or 0)
+    for n, (i, t, s) in enumerate(sorted(rows, key=key)):
+        ring[s] += [(n, i, w) for w in range(len(brute.words(t)))]
+    want, by_row = {}, {}
+    for s in names:
+        for at in range(taken[s]):
+            n, i, w = ring[s][at % len(ring[s])]
+            shard = shard_of[s][at // 16]
+            want.setdefault((s, shard), []).append((str(i), w))
+            by_row.setdefault((n, i, s), []).append(shard)
+    found = {}
+    for r in mixing.shares(docs, block=16, shard_blocks=64).collect():
+        assert r.n_words > 0
+        found.setdefault((r.source, r.shard), []).extend((str(r.doc_id), r.from_word + w) for w in range(r.n_words))
+    assert {k: sorted(v) for k, v in found.items()} == {k: sorted(v) for k, v in want.items()} and len(want) > 30
+    in_shards = mixing.by_shard(docs, block=16, shard_blocks=64).collect()
+    assert sorted(str(r[:6]) for r in in_shards) == sorted(str(tuple(r)) for r in got)
+    ends = sorted((str(i), min(v), max(v), len(v)) for (_, i, _), v in by_row.items())
+    assert sorted((str(r.doc_id), r.first_shard, r.last_shard, r.taken) for r in in_shards if r.taken) == ends
+    assert all(r.first_shard is None and r.last_shard is None for r in in_shards if not r.taken)
+    assert mixing.by_shard(docs.limit(0)).count() == 0
+
+
+def test_equal_quotients_at_the_edge_of_a_shard(spark):
+    rows = spark.createDataFrame([(i, f"s{i}", 100.0) for i in range(4)], "place int, source string, target double")
+    got = {(r.place, r.shard): (r.quota, r.until) for r in mixing.quotas(rows, 20, 6).collect()}
+    assert [[got[i, s] for i in range(4)] for s in range(4)] == [
+        [(2, 2), (2, 2), (1, 1), (1, 1)], [(1, 3), (1, 3), (2, 3), (2, 3)],
+        [(2, 5), (2, 5), (1, 4), (1, 4)], [(0, 5), (0, 5), (1, 5), (1, 5)],
+    ]
+
 
 def test_quotas_per_shard(spark):
     target = [700.0, 200.0, 90.0, 10.0, 0.0]

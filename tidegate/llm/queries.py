@@ -147,17 +147,25 @@ lev AS (SELECT min_by((total - gone) / rest, struct_pack(a := stop / weight, b :
 t AS (SELECT source, place, source_size, least(stop, coalesce(weight * level, stop)) AS target FROM w, lev),
 seats AS (SELECT place, target / (2 * j - 1) AS quotient
     FROM (SELECT place, target, unnest(generate_series(1, CAST(target / 64 AS BIGINT) + 40)) AS j FROM t WHERE target > 0)),
-won AS (SELECT place, count(*) AS blocks FROM (SELECT place FROM seats ORDER BY quotient DESC, place
-    LIMIT (SELECT CAST(round(sum(target) / 64) AS BIGINT) FROM t)) GROUP BY place),
+seated AS (SELECT place, seat // 16384 AS shard, row_number() OVER (PARTITION BY place ORDER BY seat) - 1 AS block
+    FROM (SELECT place, row_number() OVER (ORDER BY quotient DESC, place) - 1 AS seat FROM seats)
+    WHERE seat < (SELECT CAST(round(sum(target) / 64) AS BIGINT) FROM t)),
+won AS (SELECT place, count(*) AS blocks FROM seated GROUP BY place),
 plan AS (SELECT t.*, least(coalesce(blocks, 0) * 64, 2 * source_size) AS words FROM t LEFT JOIN won USING (place)),
-ring AS (SELECT d.doc_id, d.size, p.source_size, p.target, p.words, coalesce(sum(d.size) OVER (PARTITION BY p.place
+ring AS (SELECT d.doc_id, d.size, p.place, p.source_size, p.target, p.words, coalesce(sum(d.size) OVER (PARTITION BY p.place
     ORDER BY d.turn, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
     FROM d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
-SELECT doc_id, size, source_size, target, CAST(CASE WHEN source_size = 0 THEN 0 ELSE words // source_size * size
-    + greatest(least(start + size, words % source_size) - start, 0) END AS BIGINT) AS taken FROM ring
+taken AS (SELECT *, CAST(CASE WHEN source_size = 0 THEN 0 ELSE words // source_size * size
+    + greatest(least(start + size, words % source_size) - start, 0) END AS BIGINT) AS taken FROM ring),
+ends AS (SELECT *, start // 64 AS opening, (CASE WHEN words % source_size > start THEN words - words % source_size
+    + least(start + size, words % source_size) ELSE words - words % source_size - source_size + start + size END - 1) // 64 AS closing
+    FROM taken)
+SELECT doc_id, size, source_size, target, taken, a.shard AS first_shard, b.shard AS last_shard FROM ends e
+LEFT JOIN seated a ON taken > 0 AND a.place = e.place AND a.block = opening
+LEFT JOIN seated b ON taken > 0 AND b.place = e.place AND b.block = closing
 """)
 def op7_mixing(spark: SparkSession, folder: str) -> DataFrame:
-    return mixing.mix(table(spark, folder, "documents")).drop("source")
+    return mixing.by_shard(table(spark, folder, "documents")).drop("source")
 
 
 @query("op8_near_dedup", r"""
