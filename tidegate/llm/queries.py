@@ -154,12 +154,12 @@ won AS (SELECT place, count(*) AS blocks FROM seated GROUP BY place),
 plan AS (SELECT t.*, least(coalesce(blocks, 0) * 64, 2 * source_size) AS words FROM t LEFT JOIN won USING (place)),
 ring AS (SELECT d.doc_id, d.size, p.place, p.source_size, p.target, p.words, coalesce(sum(d.size) OVER (PARTITION BY p.place
     ORDER BY d.turn, d.doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
-    FROM d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source)
-taken AS (SELECT *, CAST(CASE WHEN source_size = 0 THEN 0 ELSE words // source_size * size
+    FROM d JOIN plan p ON d.source IS NOT DISTINCT FROM p.source),
+summed AS (SELECT *, CAST(CASE WHEN source_size = 0 THEN 0 ELSE words // source_size * size
     + greatest(least(start + size, words % source_size) - start, 0) END AS BIGINT) AS taken FROM ring),
 ends AS (SELECT *, start // 64 AS opening, (CASE WHEN words % source_size > start THEN words - words % source_size
     + least(start + size, words % source_size) ELSE words - words % source_size - source_size + start + size END - 1) // 64 AS closing
-    FROM taken)
+    FROM summed)
 SELECT doc_id, size, source_size, target, taken, a.shard AS first_shard, b.shard AS last_shard FROM ends e
 LEFT JOIN seated a ON taken > 0 AND a.place = e.place AND a.block = opening
 LEFT JOIN seated b ON taken > 0 AND b.place = e.place AND b.block = closing
