@@ -188,18 +188,20 @@ def remove_repeated(docs: DataFrame, length: int = 50) -> DataFrame:
     )
     able = whole.filter((F.col("n_words") >= length) & F.col("doc_id").isNotNull())
     firsts = able.groupBy("sha").agg(F.min("doc_id").alias("first_id"))
-    copies = (
+    copies = stored(
         able.select("doc_id", "sha").join(firsts, "sha").filter(F.col("doc_id") > F.col("first_id"))
-        .select("doc_id", "sha").distinct()
+        .select("doc_id", "sha").distinct(),
+        "substring-copies",
     )
-    anchors = able.select("doc_id", F.explode(F.arrays_zip("anchor", "at")).alias("a")).select("doc_id", "a.*")
+    # Copies go before their anchors are dealt out, so a text with very many copies has each anchor once.
+    originals = able.join(copies, ["doc_id", "sha"], "left_anti")
+    anchors = originals.select("doc_id", F.explode(F.arrays_zip("anchor", "at")).alias("a")).select("doc_id", "a.*")
     several = (
         anchors.groupBy("anchor").agg(F.min("doc_id").alias("low"), F.max("doc_id").alias("high"))
         .filter("low < high").select("anchor")
     )
     survivors = stored(
-        anchors.join(several, "anchor").groupBy("doc_id").agg(F.collect_list("at").alias("at"))
-        .join(firsts.select(F.col("first_id").alias("doc_id")), "doc_id", "left_semi"),
+        anchors.join(several, "anchor").groupBy("doc_id").agg(F.collect_list("at").alias("at")),
         "substring-survivors",
     )
     suspects = stored(
