@@ -8,7 +8,9 @@ batch touches.
 from __future__ import annotations
 
 import datetime as dt
+import operator
 from collections.abc import Callable, Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +37,18 @@ def upsert(
     return with_source(t, dedupe_latest(s, keys, order_by or []), keys, update_cols).select(*target.columns)
 
 
+def upsert_latest(target: DataFrame, source: DataFrame, keys: Sequence[str], order_by: Sequence[Column | str]) -> DataFrame:
+    """``upsert`` of the newest source row of each key, rows without a key counted as one key.
+
+    The source is dealt once, by the columns that the join needs, for the choice of the newest row as for the join.
+    """
+    no_key = reduce(operator.or_, [F.col(k).isNull() for k in keys])
+    s = source.withColumn(SPREAD, F.when(no_key, F.lit(-2)).otherwise(F.lit(-1)).cast("long"))
+    t = with_spread(target, keys)
+    keys = [*keys, SPREAD]
+    return with_source(t, dedupe_latest(s, keys, order_by), keys).select(*target.columns)
+
+
 def with_source(
     target: DataFrame, source: DataFrame, keys: list[str], update_cols: Sequence[str] | None = None
 ) -> DataFrame:

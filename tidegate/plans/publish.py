@@ -31,14 +31,14 @@ def outage_poll(source: DataFrame, poi: DataFrame, path: str, watermark, updated
     batch = network.outage_incidents(source, poi, None, watermark, updated)["batch"]
     gate = lambda df: Gate(df, "outages").min_rows(least).not_null("sys_id")
     with checked_batch(batch, gate, newest=F.max(updated)) as (staged, seen):
-        merge_into(_by_month(staged, "opened_at"), path, ["sys_id"], MONTH, [updated])
+        merge_into(_by_month(staged, "opened_at"), path, ["sys_id"], MONTH, [updated], staged=True)
     return seen["newest"] or watermark
 
 
 def activations(source: DataFrame, path: str, run_date) -> None:
     batch = customer.rsp_activations(source, None, run_date)["batch"]
     with checked_batch(batch, customer.activation_gate) as (staged, _):
-        merge_into(_by_month(staged, "order_created_at"), path, ["order_id"], MONTH, ["order_created_at"])
+        merge_into(_by_month(staged, "order_created_at"), path, ["order_id"], MONTH, ["order_created_at"], staged=True)
 
 
 def node_alerts(samples: DataFrame, path: str) -> None:
@@ -48,14 +48,14 @@ def node_alerts(samples: DataFrame, path: str) -> None:
         arrivals.enforce()
         # The month follows from the hour, which is part of the key, so no other partition is searched.
         keys = ["node_id", "hour_label", MONTH]
-        merge_into(_by_month(staged, "hour_label"), path, keys, MONTH, ["hour_label"], null_safe=["hour_label", MONTH])
+        merge_into(_by_month(staged, "hour_label"), path, keys, MONTH, ["hour_label"], null_safe=["hour_label", MONTH], staged=True)
 
 
 def billing_files(spark: SparkSession, pattern: str, path: str, run_date) -> None:
     rows = integrations.rsp_billing_files(spark, pattern, None, run_date)["statements"]
     keys = [*integrations.BILLING_KEYS, MONTH]
     with checked_batch(rows, lambda df: integrations.billing_gate(df, run_date)) as (staged, _):
-        merge_into(_by_month(staged, "billing_date"), path, keys, MONTH, ["loaded_at"], null_safe=["billing_date", MONTH])
+        merge_into(_by_month(staged, "billing_date"), path, keys, MONTH, ["loaded_at"], null_safe=["billing_date", MONTH], staged=True, stamped=True)
 
 
 def telemetry(spark: SparkSession, source: str, path: str, start, end) -> None:
@@ -76,7 +76,7 @@ def noc_incidents(docs: DataFrame, path: str, watermark, least: int = 0):
     batch = integrations.noc_incidents(docs, None, watermark)["incidents"]
     gate = lambda df: Gate(df, "noc_incidents").min_rows(least).not_null("incident_id")
     with checked_batch(batch, gate, newest=F.max("updated_at")) as (staged, seen):
-        merge_into(_by_month(staged, "created_at"), path, ["incident_id"], MONTH, ["updated_at"])
+        merge_into(_by_month(staged, "created_at"), path, ["incident_id"], MONTH, ["updated_at"], staged=True)
     return seen["newest"] or watermark
 
 

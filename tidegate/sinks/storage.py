@@ -33,6 +33,12 @@ def folders(spark: SparkSession, pattern: str) -> list[str]:
     return [s.getPath().toString() for s in (fs.globStatus(p) or []) if s.isDirectory()]
 
 
+def subfolders(spark: SparkSession, path: str) -> list[str]:
+    """Names of the folders right below ``path``, which is no pattern."""
+    fs, p = _fs(spark, path)
+    return [s.getPath().getName() for s in fs.listStatus(p) if s.isDirectory()]
+
+
 def newest_file(spark: SparkSession, pattern: str) -> str | None:
     """Greatest path matching a glob, from a listing of names only."""
     fs, p = _fs(spark, pattern)

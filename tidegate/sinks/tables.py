@@ -9,13 +9,13 @@ import datetime as dt
 import uuid
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidegate.functions.times import as_date, in_window
 from tidegate.operators.keys import dedupe_latest
-from tidegate.operators.merge import upsert
+from tidegate.operators.merge import upsert_latest
 from tidegate.sinks import storage
 
 
@@ -125,6 +125,8 @@ def merge_into(
     order_by: Sequence[Column | str],
     newest_wins: bool = False,
     null_safe: Sequence[str] = (),
+    staged: bool = False,
+    stamped: bool = False,
 ) -> None:
     """Upsert into a partitioned Parquet table, rewriting only what changes.
 
@@ -133,21 +135,23 @@ def merge_into(
     matches nothing, except in the keys named ``null_safe``, where it equals a null. Rows
     without a partition value lie in a partition of their own and move out of it when the value appears.
 
-    Touched partitions are those of the batch plus those that hold a matching
-    key today. The second set is found by scanning key and partition columns
-    only; it is not needed at all when the partition column is part of the key.
-    The partition filter then prunes the rewrite to the touched ones.
+    Touched partitions are those of batch rows that the table does not hold alike, plus those that hold
+    their keys today. They are found by one join of keys and hashes of whole rows; the partition filter then prunes
+    the rewrite to them, and a batch that was merged before rewrites nothing. Where no row can be alike, as
+    in a batch ``stamped`` with the time of its load, all partitions of the batch are touched and
+    key and partition columns of the others are searched, unless the partition column is part of the key.
 
     A partition that the batch leaves empty is removed after the others are written: a job lost in between
     shows its moved keys twice until the merge is run again, which ends it.
     """
     # The batch is read to find partitions, to find matches and to write, so it
-    # is kept; lost pieces are computed again from the source.
-    batch = dedupe_latest(source, keys, order_by).persist()
+    # is kept, unless it is a ``staged`` copy; lost pieces are computed again from the source.
+    batch = source if staged else source.persist()
     try:
-        _merge(batch, path, list(keys), partition_by, order_by, newest_wins, list(null_safe))
+        _merge(batch, path, list(keys), partition_by, order_by, newest_wins, list(null_safe), stamped)
     finally:
-        batch.unpersist()
+        if not staged:
+            batch.unpersist()
 
 
 def _never_null(df: DataFrame, names: Sequence[str]) -> DataFrame:
@@ -156,11 +160,11 @@ def _never_null(df: DataFrame, names: Sequence[str]) -> DataFrame:
 
 
 def _merge(
-    batch: DataFrame, path: str, keys: list[str], partition_by: str, order_by, newest_wins: bool, null_safe: list[str]
+    batch: DataFrame, path: str, keys: list[str], partition_by: str, order_by, newest_wins: bool, null_safe: list[str], stamped: bool
 ) -> None:
     spark = batch.sparkSession
     if not storage.exists(spark, path):
-        overwrite_partitions(batch, path, [partition_by])
+        overwrite_partitions(dedupe_latest(batch, keys, order_by), path, [partition_by])
         return
     column = F.col(partition_by)
     target = _never_null(read_partitioned(spark, path, batch.schema[partition_by]), null_safe)
@@ -170,29 +174,58 @@ def _merge(
     keys = [f"_key_{c}" if c in null_safe else c for c in keys]
     # Only partition values travel to the driver, here and below; their texts name the folders.
     values = [column.alias("value"), column.cast("string").alias("text")]
-    fresh = {tuple(r) for r in batch.select(*values).distinct().collect()}
-    touched = set(fresh)
-    if not by_partition:
-        held = target.join(batch.select(*keys), keys, "left_semi").select(*values)
-        touched |= {tuple(r) for r in held.distinct().collect()}
+    plain = [f for f in target.columns if f not in helpers]
+    if stamped or set(plain) != set(batch.columns) - set(helpers) or not _hashable(target.schema) or not _hashable(batch.schema):
+        touched = {tuple(r) for r in batch.select(*values).distinct().collect()}
+        if not by_partition:
+            fresh = {partition_folder(spark, "", partition_by, text) for _, text in touched}
+            if any(f"/{name}" not in fresh for name in storage.subfolders(spark, path) if "=" in name):
+                held = target.filter(~_among(column, touched)).join(batch.select(*keys), keys, "left_semi").select(*values)
+                touched |= {tuple(r) for r in held.distinct().collect()}
+    else:
+        touched = {tuple(r) for r in _changed(target, batch, keys, plain, F.struct(*values)).collect()}
     if not touched:
         return
-    some = [v for v, _ in touched if v is not None]
-    among = column.isin(some) if some else F.lit(False)
-    current = target.filter(among | column.isNull() if any(v is None for v, _ in touched) else among)
+    batch = batch.filter(_among(column, touched))
+    current = target.filter(_among(column, touched))
     if newest_wins:
-        rows = dedupe_latest(current.unionByName(batch), keys, order_by).drop(*helpers)
+        rows = dedupe_latest(current.unionByName(batch), keys, order_by)
     else:
-        rows = upsert(current, batch, keys).drop(*helpers)
+        rows = upsert_latest(current, batch, keys, order_by)
     # A partition whose last row moved elsewhere is not in the output: drop it.
-    doubtful = {text for _, text in touched - fresh}
-    emptied = set()
-    if doubtful:
-        alive = {r[0] for r in rows.select(column.cast("string")).distinct().collect()}
-        emptied = doubtful - alive
-    overwrite_partitions(rows, path, [partition_by])
-    for text in emptied:
-        storage.remove(spark, partition_folder(spark, path, partition_by, text))
+    seen = Observation()
+    alive = [F.collect_set(column.cast("string")).alias("alive"), F.max(column.isNull()).alias("none")]
+    overwrite_partitions(rows.drop(*helpers).observe(seen, *alive), path, [partition_by])
+    if not by_partition:
+        written = {*seen.get["alive"], *([None] if seen.get["none"] else [])}
+        for text in {text for _, text in touched} - written:
+            storage.remove(spark, partition_folder(spark, path, partition_by, text))
+
+
+def _hashable(schema: T.StructType) -> bool:
+    return not any(kind in schema.json() for kind in ('"map"', '"variant"'))
+
+
+def _changed(target: DataFrame, batch: DataFrame, keys: list[str], columns: list[str], partition: Column) -> DataFrame:
+    """Distinct partitions of batch rows unlike the table's row of their key, and of those rows of the table.
+
+    Rows are alike by 96 bits of hash over the values and which of them are null.
+    """
+    kinds = batch.schema
+    parts = [F.col(f"`{c}`").cast(kinds[c].dataType) for c in columns]
+    marks = [F.xxhash64(*parts, *[x.isNull() for x in parts]), F.hash(*[x.isNull() for x in parts], *parts)]
+    new = batch.select(*keys, *[m.alias(f"_new_{n}") for n, m in enumerate(marks)], partition.alias("_new"))
+    old = target.select(*keys, *[m.alias(f"_old_{n}") for n, m in enumerate(marks)], partition.alias("_old"))
+    alike = (F.col("_new_0") == F.col("_old_0")) & (F.col("_new_1") == F.col("_old_1"))
+    unlike = new.join(old, keys, "left").filter(~F.coalesce(alike, F.lit(False)))
+    return unlike.select(F.explode(F.array("_new", "_old")).alias("at")).filter("at IS NOT NULL").select("at.*").distinct()
+
+
+def _among(column: Column, values: set[tuple]) -> Column:
+    """Whether the column has one of the ``values`` (value, text); never null."""
+    some = [v for v, _ in values if v is not None]
+    listed = F.coalesce(column.isin(some), F.lit(False)) if some else F.lit(False)
+    return listed | column.isNull() if any(v is None for v, _ in values) else listed & column.isNotNull()
 
 
 def register_view(spark: SparkSession, name: str, df: DataFrame) -> DataFrame:

@@ -36,6 +36,13 @@ def back(t: Tables, path: str, partition: str = publish.MONTH) -> DataFrame:
     return tables.read_partitioned(t.spark, path, T.StructField(partition, T.StringType())).drop(partition)
 
 
+def source_table(t: Tables, df: DataFrame, label: str) -> DataFrame:
+    """``df`` as a table of the source system: every poll reads it, none derives it again."""
+    path = t.scratch(label)
+    df.write.parquet(path)
+    return t.spark.read.schema(df.schema).parquet(path)
+
+
 # --- network ---------------------------------------------------------------------------
 
 
@@ -55,7 +62,7 @@ FROM incidents LEFT JOIN accounts ON c_custkey = affected_poi_id"""
 def load_outages(t: Tables) -> DataFrame:
     """A first poll loads everything up to a day, a second one, run twice, the rest."""
     rows = v.incidents(t).select("sys_id", "opened_at", "resolved_at", "premises_count", "affected_poi_id")
-    rows = rows.withColumn("sys_updated_on", F.col("opened_at"))
+    rows = source_table(t, rows.withColumn("sys_updated_on", F.col("opened_at")), "outage-source")
     poi, path = core.poi_registry(t), t.scratch("outages")
     mark = publish.outage_poll(rows.filter(F.col("sys_updated_on") <= dt.datetime(1999, 1, 1)), poi, path, None)
     for _ in range(2):
@@ -70,7 +77,7 @@ UNTIMED = "sys_id % 5 = 0"
 def load_outages_untimed(t: Tables) -> DataFrame:
     """Every fifth outage comes without its time, three times over; those of the large ones arrive later."""
     rows = v.incidents(t).select("sys_id", "opened_at", "resolved_at", "premises_count", "affected_poi_id")
-    rows = rows.withColumn("sys_updated_on", F.col("opened_at"))
+    rows = source_table(t, rows.withColumn("sys_updated_on", F.col("opened_at")), "outage-source")
     poi, path = core.poi_registry(t), t.scratch("outages")
     untimed = rows.withColumn("opened_at", F.when(~F.expr(UNTIMED), F.col("opened_at")))
     for _ in range(3):
