@@ -150,3 +150,15 @@ def test_margins_only_drop_what_cannot_be_best():
         assert set(np.argsort(-score)[:20].tolist()) <= set(rows.tolist())
         left.append(len(rows) / len(x))
     assert np.mean(left) < 0.5
+
+
+def test_places_and_margins_over_all_trees():
+    rng = np.random.default_rng(5)
+    x = rng.normal(size=(700, 8))
+    forest = neighbours.Forest(x, float(np.sqrt((x * x).sum(1)).max()))
+    leaf, trees = forest.leaves(x), np.arange(neighbours.TREES)[:, None]
+    places, margins = forest.order(x[:20])
+    first, last, along = forest.passed(places, margins, leaf)
+    for i in range(20):
+        assert (first[i] == places[i][trees, leaf].min(0)).all()
+        assert (along[i][last[i]] == margins[i][trees, leaf].max(0)).all()
