@@ -233,3 +233,28 @@ def test_links_that_few_least_values_show(spark):
     df = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     got = {r.doc_id: r.component_id for r in near_dedup.near_duplicates(df, 5).collect()}
     assert got == {i: i // 2 * 2 for i in texts}
+
+
+def test_a_cell_of_one_group_is_compared_with_its_first_member_alone(monkeypatch):
+    rng = np.random.default_rng(3)
+
+    def cell(shared, size):
+        base = rng.integers(0, 2**31, shared)
+        return [np.sort(np.r_[base, rng.integers(2**31, 2**32, 64 - shared)]).astype(np.uint32).tobytes() for _ in range(size)]
+
+    def edges(sketches, cells):
+        batch = pa.RecordBatch.from_pydict({
+            "cell": pa.array(cells, pa.int64()), "node": pa.array(range(len(cells)), pa.int64()),
+            "n_shingles": pa.array([64] * len(cells), pa.int64()), "sketch": pa.array(sketches, pa.binary()),
+        })
+        return [(r["a"], r["b"]) for out in near_dedup._list_cells(0.8)(iter([batch])) for r in out.to_pylist()]
+
+    # Two groups and strangers in one cell: members of both are found, whichever comes first.
+    mixed = [x for three in zip(cell(60, 40), cell(58, 40), cell(12, 40), strict=True) for x in three]
+    got = edges(mixed, [1] * 120)
+    assert {a % 3 for a, _ in got} == {0, 1} and all(a % 3 == b % 3 for a, b in got) and len(got) == 78
+    assert edges([], []) == []
+    # One group, and one without any link, need no table of all pairs.
+    monkeypatch.setattr(near_dedup, "common", None)
+    assert len(edges(cell(60, 200), [1] * 200)) == 199
+    assert edges(cell(20, 200), [1] * 200) == []

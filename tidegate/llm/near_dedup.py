@@ -46,6 +46,7 @@ PROBED = 12
 ESTIMATE_SLACK = 0.3
 LIST_CHUNK = 512
 GROUP_CHUNK = 256
+PIVOTED = 32
 _PAIRS = np.array(list(combinations(range(PROBED), 2)))
 
 
@@ -104,11 +105,19 @@ def _sketches(size: int):
     return work
 
 
-def forest(count: int, linked: Callable[[int, np.ndarray], np.ndarray]) -> list[tuple[int, int]]:
-    """Edges of a spanning forest; ``linked(i, others)`` says which of the others are linked with i."""
-    todo, edges = np.arange(count), []
+def forest(
+    count: int, linked: Callable[[int, np.ndarray], np.ndarray], start: tuple[np.ndarray, np.ndarray] | None = None
+) -> list[tuple[int, int]]:
+    """Edges of a spanning forest; ``linked(i, others)`` says which of the others are linked with i.
+
+    ``start`` are members that are known to be linked with each other, and the rest.
+    """
+    todo, edges, stack = np.arange(count), [], []
+    if start is not None:
+        stack, todo = list(start[0]), start[1]
     while len(todo):
-        stack, todo = [todo[0]], todo[1:]
+        if not stack:
+            stack, todo = [todo[0]], todo[1:]
         while stack and len(todo):
             i = stack.pop()
             hit = linked(i, todo)
@@ -137,15 +146,15 @@ def padded(sketches: list[bytes]) -> np.ndarray:
     return out
 
 
-def common(sketches: np.ndarray) -> np.ndarray:
-    """Numbers of common values of all pairs of a cell's sketches."""
-    m = len(sketches)
+def common(sketches: np.ndarray, of: np.ndarray | None = None) -> np.ndarray:
+    """Numbers of common values of a cell's sketches, each with each, or with those ``of`` the given rows."""
+    m, of = len(sketches), slice(None) if of is None else of
     value, row = sketches.ravel(), np.repeat(np.arange(m), sketches.shape[1])
     order = np.argsort(value, kind="stable")
     value, row = value[order], row[order]
     cut = bounds(value)
     often = np.flatnonzero(np.diff(cut) > 1)
-    total = np.zeros((m, m), np.float32)
+    total = np.zeros((m, len(sketches[of])), np.float32)
     for a in range(0, len(often), 4096):
         part = often[a : a + 4096]
         size = np.diff(cut)[part]
@@ -153,45 +162,83 @@ def common(sketches: np.ndarray) -> np.ndarray:
         at = np.arange(ends[-1]) - np.repeat(ends - size, size) + np.repeat(cut[part], size)
         has = np.zeros((len(part), m), np.float32)
         has[np.repeat(np.arange(len(part)), size), row[at]] = 1
-        total += has.T @ has
+        total += has.T @ has[:, of]
     return total
 
 
-def _candidates(sketches: np.ndarray, n: np.ndarray, threshold: float) -> np.ndarray:
-    """Pairs that sizes and common values leave possible."""
-    most, least = np.maximum.outer(n, n), np.minimum.outer(n, n)
-    enough = common(sketches) >= (threshold - ESTIMATE_SLACK) * np.minimum(RETAINED, most) - 1e-6
+def _candidates(sketches: np.ndarray, n: np.ndarray, threshold: float, of: np.ndarray | None = None) -> np.ndarray:
+    """Pairs that sizes and common values leave possible, of each with each or with those ``of`` the given rows."""
+    other = n if of is None else n[of]
+    most, least = np.maximum.outer(n, other), np.minimum.outer(n, other)
+    enough = common(sketches, of) >= (threshold - ESTIMATE_SLACK) * np.minimum(RETAINED, most) - 1e-6
     return enough & (least >= threshold * most - 1e-6)
 
 
 EDGE = pa.schema([("a", pa.int64()), ("b", pa.int64())])
 
 
+def sociable(sketches: np.ndarray, n: np.ndarray, threshold: float) -> np.ndarray:
+    """Rows of a cell with as many values that some other row has as a candidate must share with one; the rest have no pair."""
+    value = np.unique(sketches, return_inverse=True)[1].reshape(sketches.shape)
+    least = (threshold - ESTIMATE_SLACK) * np.minimum(RETAINED, n) - 1e-6
+    rows = np.arange(len(sketches))
+    while True:
+        often = np.bincount(value[rows].ravel(), minlength=1) > 1
+        enough = often[value[rows]].sum(1) >= least[rows]
+        if enough.all():
+            return rows
+        rows = rows[enough]
+
+
+def _list_forest(own: np.ndarray, n: np.ndarray, near: np.ndarray, threshold: float) -> list[tuple[int, int]]:
+    """What a forest of a cell's pairs needs besides the links of its first member, which ``near`` marks.
+
+    Members linked with the first need no comparison among each other, so a cell of one group costs its size, not the square of it.
+    """
+    rows = sociable(own, n, threshold) if len(own) > PIVOTED else np.arange(len(own))
+    rest = rows[~near[rows] & (rows > 0)]
+    if not len(rest):
+        return []
+    found = rows[near[rows]]
+    rows = np.concatenate([found, rest])
+    columns = np.arange(len(found), len(rows))
+    able, own = _candidates(own[rows], n[rows], threshold, columns), own[rows]
+
+    def linked(i: int, others: np.ndarray) -> np.ndarray:
+        hit = able[i, others - len(found)]
+        if hit.any():
+            hit[hit] = estimates(own[i], own[others[hit]]) >= threshold - ESTIMATE_SLACK
+        return hit
+
+    return [(rows[i], rows[j]) for i, j in forest(len(rows), linked, (np.arange(len(found)), columns))]
+
+
+def _similar(sketches: np.ndarray, n: np.ndarray, one: np.ndarray, other: np.ndarray, threshold: float) -> np.ndarray:
+    """Which of the pairs of rows fit in size and reach the threshold less its slack by their estimate."""
+    fit = np.minimum(n[one], n[other]) >= threshold * np.maximum(n[one], n[other]) - 1e-6
+    at = np.flatnonzero(fit)
+    for begin in range(0, len(at), 4096):
+        part = at[begin : begin + 4096]
+        fit[part] = estimates(sketches[one[part]], sketches[other[part]]) >= threshold - ESTIMATE_SLACK
+    return fit
+
+
 def _list_cells(threshold: float):
     def work(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in whole_groups(batches, "cell"):
             node, n = table["node"].to_numpy(), table["n_shingles"].to_numpy()
             sketches = padded(table["sketch"].to_pylist())
             cut = bounds(table["cell"].to_numpy())
-            edges = []
-            twos = cut[:-1][np.diff(cut) == 2]
-            if len(twos):
-                fit = np.minimum(n[twos], n[twos + 1]) >= threshold * np.maximum(n[twos], n[twos + 1]) - 1e-6
-                twos = twos[fit]
-                good = twos[estimates(sketches[twos], sketches[twos + 1]) >= threshold - ESTIMATE_SLACK]
-                edges.append(np.stack([node[good], node[good + 1]], 1))
-            for a, b in zip(cut[:-1], cut[1:], strict=True):
-                if b - a < 3:
-                    continue
-                own, able = sketches[a:b], _candidates(sketches[a:b], n[a:b], threshold)
-
-                def linked(i: int, others: np.ndarray, own=own, able=able) -> np.ndarray:
-                    hit = able[i, others]
-                    if hit.any():
-                        hit[hit] = estimates(own[i], own[others[hit]]) >= threshold - ESTIMATE_SLACK
-                    return hit
-
-                found = np.array(forest(b - a, linked), np.int64).reshape(-1, 2)
+            # Every member is first compared with the first one of its cell, all cells at once.
+            first = np.repeat(cut[:-1], np.diff(cut))
+            others = np.flatnonzero(np.arange(len(node)) > first)
+            near = np.zeros(len(node), bool)
+            near[others] = _similar(sketches, n, first[others], others, threshold)
+            edges = [np.stack([node[first[near]], node[near]], 1)]
+            apart = np.add.reduceat(np.r_[~near, False].astype(np.int64), cut[:-1]) if len(node) else np.zeros(0)
+            for c in np.flatnonzero((apart > 1) & (np.diff(cut) > 2)):
+                a, b = cut[c], cut[c + 1]
+                found = np.array(_list_forest(sketches[a:b], n[a:b], near[a:b], threshold), np.int64).reshape(-1, 2)
                 edges.append(node[a:b][found])
             if edges:
                 e = np.concatenate(edges)
