@@ -1,12 +1,16 @@
 """A stream gives what the batch gives, and a restart adds nothing."""
 
 import datetime as dt
+import os
 
 import pytest
 from pyspark.sql import functions as F
 
 from tidegate.session import scratch_dir
 from tidegate.streaming import jobs
+from workload import control, registry
+
+FOLDER = "/root/testdata/sf0.001"
 
 EVENTS = "id int, ts timestamp, kind string"
 T0 = dt.datetime(2024, 1, 1)
@@ -85,3 +89,33 @@ def test_closed_hour_of_a_topic(rows):
     assert options["startingTimestamp"] == "1704085200000"
     raw = rows("value binary, timestamp timestamp_ntz, key binary", (b'{"k": 1}', None, b""), (b"{broken", None, b""))
     assert [r.body for r in jobs.messages(raw).collect()] == ['{"k": 1}', "{broken"]
+
+
+STREAMS = [("stream_dead_letters", 4, 2), ("stream_upsert", 6, 2), ("drops_once", 6, 4)]
+
+
+@pytest.mark.skipif(not os.path.isdir(FOLDER), reason="test tables not present")
+@pytest.mark.parametrize("name, least, triggers", STREAMS)
+def test_larger_tables_are_dealt_to_more_files(spark, tmp_path, monkeypatch, name, least, triggers):
+    monkeypatch.setattr(control, "ROWS_PER_FILE", 100, raising=False)
+    made, drained, batches = [], [], []
+    monkeypatch.setattr(control.Tables, "scratch", lambda self, label: made.append(str(tmp_path / label)) or made[-1])
+    plain = jobs.drain
+
+    def drain(df, handle, *args, **kwargs):
+        def count(batch, batch_id):
+            # Files of the stream that this trigger takes, with their rows; drops are archived before the end.
+            files = batch.groupBy(F.input_file_name()).count().collect()
+            drained.extend(r["count"] for r in files)
+            batches.append(batch_id)
+            handle(batch, batch_id)
+
+        return plain(df, count, *args, **kwargs)
+
+    monkeypatch.setattr(jobs, "drain", drain)
+    got = registry.QUERIES[name](spark, FOLDER)
+    rows = spark.read.parquet(f"{FOLDER}/events.parquet").count()
+    assert sum(drained) == rows and len(batches) == triggers
+    assert len(drained) > least and max(drained) <= 150
+    if name != "stream_upsert":
+        assert got.count() == rows

@@ -392,13 +392,26 @@ EVENT_SCHEMA = "event_id long, ts timestamp_ntz, user_id long, event_type string
 # Longer than the data, because the files of a test stream arrive in any order.
 NEVER_LATE = "60 days"
 
+# One task writes a file and one reads it whole, since a file of this size has a single row group.
+ROWS_PER_FILE = 500_000
+
+
+def dealt(df: DataFrame, files: int, *keys: str) -> tuple[DataFrame, int]:
+    """``df`` in ``files`` partitions, or in a multiple that keeps them near ``ROWS_PER_FILE`` rows; and the factor.
+
+    A trigger takes the same share of more files, because each one that merges may rewrite its whole table.
+    """
+    times = max(1, -(-df.count() // (files * ROWS_PER_FILE)))
+    return df.repartition(files * times, *keys), times
+
 
 def event_stream(t: Tables, label: str, per_trigger: int = 2) -> DataFrame:
-    """The events table as a directory of files, read a few files per trigger."""
+    """The events table as a directory of files, read a share of the files per trigger."""
     path = t.scratch(label)
-    t.events.withColumn("ts", F.col("ts").cast("timestamp")).repartition(6, "event_id").write.parquet(path)
+    rows, times = dealt(t.events.withColumn("ts", F.col("ts").cast("timestamp")), 6, "event_id")
+    rows.write.parquet(path)
     return jobs.read_events(
-        t.spark, "parquet", {"path": path, "maxFilesPerTrigger": str(per_trigger)}, EVENT_SCHEMA.replace("timestamp_ntz", "timestamp")
+        t.spark, "parquet", {"path": path, "maxFilesPerTrigger": str(per_trigger * times)}, EVENT_SCHEMA.replace("timestamp_ntz", "timestamp")
     )
 
 
@@ -459,8 +472,9 @@ def stream_late_rows(t: Tables) -> DataFrame:
 )
 def stream_dead_letters(t: Tables) -> DataFrame:
     raw = t.scratch("messages")
-    landing.order_messages(t).repartition(4).write.parquet(raw)
-    stream = jobs.read_events(t.spark, "parquet", {"path": raw, "maxFilesPerTrigger": "2"}, "event_id long, body string")
+    rows, times = dealt(landing.order_messages(t), 4)
+    rows.write.parquet(raw)
+    stream = jobs.read_events(t.spark, "parquet", {"path": raw, "maxFilesPerTrigger": str(2 * times)}, "event_id long, body string")
     good, dead = t.scratch("good"), t.scratch("dead")
     jobs.drain(stream, jobs.deadletter_sink("order_id string, event_type string", "body", good, dead, ["event_id"]))
     both = [t.spark.read.parquet(p).select("event_id", F.lit(r).alias("route")) for p, r in ((good, "good"), (dead, "dead"))]
@@ -474,12 +488,13 @@ def closing_stream(t: Tables, df: DataFrame, label: str, files: int = 3) -> Data
     """``df`` (with ts) as files in a stream, and after them a row of the far future, which lets the watermark close everything."""
     path, last = t.scratch(label), F.lit("2026-01-01").cast("timestamp")
     df = df.withColumn("ts", F.col("ts").cast("timestamp"))
-    df.repartition(files).write.parquet(path)
+    rows, times = dealt(df, files)
+    rows.write.parquet(path)
     # The closing row needs a key, because Spark drops rows without one before it looks at their time.
     end = [(last if f.name == "ts" else F.lit(True if f.dataType == T.BooleanType() else CLOSING).cast(f.dataType)).alias(f.name) for f in df.schema.fields]
     t.spark.range(1).select(*end).write.mode("append").parquet(path)
     shape = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in df.schema.fields)
-    return jobs.read_events(t.spark, "parquet", {"path": path, "maxFilesPerTrigger": "2"}, shape)
+    return jobs.read_events(t.spark, "parquet", {"path": path, "maxFilesPerTrigger": str(2 * times)}, shape)
 
 
 BUSY = "value > 40"
@@ -528,9 +543,10 @@ def drops_once(t: Tables) -> DataFrame:
     folder, archive, checkpoint, out = (t.scratch(x) for x in ("drops", "archive", "drop-check", "loaded"))
     early = F.col("event_id") % 3 == 0
     for part in (early, ~early):
-        t.events.filter(part).select("event_id", "event_type").repartition(3).write.mode("append").json(folder)
+        rows, times = dealt(t.events.filter(part).select("event_id", "event_type"), 3)
+        rows.write.mode("append").json(folder)
         for _ in range(2):
-            drops = jobs.read_drops(t.spark, folder, "json", "event_id long, event_type string", archive, 2)
+            drops = jobs.read_drops(t.spark, folder, "json", "event_id long, event_type string", archive, 2 * times)
             jobs.drain(drops, jobs.append_sink(out), checkpoint)
     return t.spark.read.parquet(out).groupBy("event_id", "event_type").agg(F.count("*").cast("int").alias("loads"))
 
