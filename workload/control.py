@@ -395,6 +395,9 @@ NEVER_LATE = "60 days"
 # One task writes a file and one reads it whole, since a file of this size has a single row group.
 ROWS_PER_FILE = 500_000
 
+# A sink that only appends takes no more files than these at once, so the batch it keeps stops growing.
+FILES_PER_TRIGGER = 24
+
 
 def dealt(df: DataFrame, files: int, *keys: str) -> tuple[DataFrame, int]:
     """``df`` in ``files`` partitions, or in a multiple that keeps them near ``ROWS_PER_FILE`` rows; and the factor.
@@ -474,7 +477,7 @@ def stream_dead_letters(t: Tables) -> DataFrame:
     raw = t.scratch("messages")
     rows, times = dealt(landing.order_messages(t), 4)
     rows.write.parquet(raw)
-    stream = jobs.read_events(t.spark, "parquet", {"path": raw, "maxFilesPerTrigger": str(2 * times)}, "event_id long, body string")
+    stream = jobs.read_events(t.spark, "parquet", {"path": raw, "maxFilesPerTrigger": str(min(2 * times, FILES_PER_TRIGGER))}, "event_id long, body string")
     good, dead = t.scratch("good"), t.scratch("dead")
     jobs.drain(stream, jobs.deadletter_sink("order_id string, event_type string", "body", good, dead, ["event_id"]))
     both = [t.spark.read.parquet(p).select("event_id", F.lit(r).alias("route")) for p, r in ((good, "good"), (dead, "dead"))]
